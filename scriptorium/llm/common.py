@@ -47,6 +47,14 @@ def unstage(*frames: DataFrame | None) -> None:
             remove(df.sparkSession, path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished stages: its cleaner waits for collected references."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def hadoop(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_words, stage, unstage
+from .common import byte_words, release_shuffles, stage, unstage
 
 #: Tokens of a chunk, keys of a bucket, EM rounds; one of FOLDS training documents is deleted.
 CHUNK, BUCKET_KEYS, ROUNDS, FOLDS = 1_500_000, 2_500_000, 10, 12
@@ -99,7 +99,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                 "docs": [len(ids)], "trained_docs": [sum(f < 2 for f in folds)], "counted_docs": [sum(f == 0 for f in folds)], "words": [len(uni)],
                 "ids": [np.array([0 if i is None else i for i in ids], "<i8").tobytes()], "nulls": [np.array([i is None for i in ids], "u1").tobytes()],
                 "folds": [np.array(folds, "u1").tobytes()], "counts": [np.array(counts, "<u4").tobytes()],
-                "uni": [uni.astype("<u8").tobytes()], "tokens": [_squeeze(inverse.astype("<u4"))]})
+                "uni": [_squeeze(np.diff(uni, prepend=np.uint64(0)).astype("<u8"))], "tokens": [_squeeze(inverse.astype("<u4"))]})
             seq += 1
             held[which], size[which] = ([], [], [], []), 0
             return row
@@ -132,7 +132,7 @@ class _Chunk:
 
     def __init__(self, row):
         n = int(row["n"])
-        uni = np.frombuffer(row["uni"], "<u8")
+        uni = np.cumsum(_expand(row["uni"], "<u8", int(row["words"])), dtype=np.uint64)
         self.counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
         self.folds = np.frombuffer(row["folds"], "u1")
         self.begin = np.cumsum(self.counts) - self.counts
@@ -234,7 +234,7 @@ def exchange(prepared: DataFrame, buckets: int) -> DataFrame:
                          _squeeze(out["counted"][mine].astype("<u4")) if deleted else b"", 0 if k else types, 0 if k else types_counted))
         return pd.DataFrame(rows, columns=["chunk", "deleted", "bucket", "n", "total", "counted", "types", "types_counted"])
 
-    rows = prepared.repartition(max(1, min(20_000, prepared.count()))).mapInPandas(
+    rows = prepared.mapInPandas(
         send, "bucket int, chunk long, deleted boolean, n long, keys binary, total binary, counted binary")
     return rows.groupBy("bucket").applyInPandas(
         add, "chunk long, deleted boolean, bucket int, n long, total binary, counted binary, types long, types_counted long")
@@ -293,6 +293,7 @@ def score_corpus(docs: DataFrame) -> DataFrame:
     prepared = stage(chunks(docs), "lm-chunks")
     sums = prepared.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "trained", "counted", "trained_docs", "counted_docs")]).first()
     answers = stage(exchange(prepared, max(1, -(-2 * sums["n"] // BUCKET_KEYS))), "lm-counts")
+    release_shuffles(docs.sparkSession)
     t = answers.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("t"), F.coalesce(F.sum("types_counted"), F.lit(0)).alias("c")).first()
     types, train_tokens, train_docs = t["t"], sums["trained"], sums["trained_docs"]
     weights = learn_weights(prepared, answers, sums["counted"], sums["counted_docs"], t["c"])
