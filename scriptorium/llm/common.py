@@ -50,9 +50,12 @@ def unstage(*frames: DataFrame | None) -> None:
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of finished stages: its cleaner waits for collected references."""
     import gc
+    import time
 
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first pass lets go of Python's handles, the second of what they held
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def hadoop(spark: SparkSession, path: str):
