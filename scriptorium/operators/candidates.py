@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ from ..functions import text as T
 COLUMNS = ("sid", "text", "label", "start", "end", "source", "source_id", "priority_score", "matched_alias", "linking_candidates", "linking_status")
 #: Rows up to which a dictionary is broadcast; a larger one joins by shuffle.
 BROADCAST_TERMS = 500_000
+#: Characters of a text per dictionary block, characters kept before a match, matches per Arrow batch.
+BLOCK, BEFORE, BATCH_ROWS = 4096, 3, 50_000
 
 
 class Source(Protocol):
@@ -38,64 +43,110 @@ def _shape(df: DataFrame, source: str, source_id: Column | None = None, alias: C
         (status if status is not None else null("string")).alias("linking_status"))
 
 
-def _found(text: Column, label: str, pattern: str) -> Column:
-    """All matches with offsets: none of the patterns looks around, so the next occurrence of a matched string is the match."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<label:string,start:int,end:int,match:string>>").alias("out"))
+def _compiled(patterns: tuple[tuple[str, str], ...]) -> list[tuple[str, re.Pattern]]:
+    """Patterns are written for the JVM; code points as \\x{...} become characters."""
+    plain = lambda p: re.sub(r"\\x\{([0-9A-Fa-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), p)
+    return [(label, re.compile(plain(p))) for label, p in patterns]
 
-    def step(s: Column, m: Column) -> Column:
-        a = F.call_function("locate", m, text, s["at"] + 1) - 1
-        b = a + F.length(m)
-        one = F.struct(F.lit(label).alias("label"), a.alias("start"), b.alias("end"), m.alias("match"))
-        return F.struct(b.alias("at"), F.concat(s["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), start, step, lambda s: s["out"])
+def spans(text: str, compiled: list[tuple[str, re.Pattern]]) -> Iterator[tuple[str, int, int]]:
+    """(label, start, end) in order of precedence; a match that meets an accepted one is dropped. Linear in the text."""
+    taken = bytearray(len(text))
+    for label, p in compiled:
+        for m in p.finditer(text):
+            a, b = m.span()
+            if a < b and taken.find(1, a, b) < 0:
+                taken[a:b] = b"\1" * (b - a)
+                yield label, a, b
 
 
 def pattern_candidates(sentences: DataFrame, patterns: tuple[tuple[str, str], ...] = rules.PATTERNS) -> DataFrame:
-    """Matches in order of precedence; a match that overlaps an accepted one is dropped. Row-local."""
+    """Matches in order of precedence; a match that overlaps an accepted one is dropped. Row-local, null texts have none.
 
-    def add(k: int, accepted: Column) -> Column:
-        """let() binds what is accepted so far: no lambda evaluates it again."""
-        if k == len(patterns):
-            return accepted
-        free = F.filter(_found(F.col("text"), *patterns[k]), lambda x: ~F.exists(accepted, lambda y: T.overlaps(x, y)))
-        return T.let(F.concat(accepted, free), lambda now: add(k + 1, now))
-
-    none = F.array().cast("array<struct<label:string,start:int,end:int,match:string>>")
-    hits = sentences.select("sid", F.inline(add(0, none)))
+    Array expressions for this are quadratic in the matches of a text (offsets by `locate`, overlaps by `exists`); a
+    sentence without punctuation can be a whole document, so the scan runs over Arrow batches and is linear.
+    """
+    compiled = _compiled(patterns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sids = batch.column(0)
+            rows, found = [], []
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                for label, a, b in spans(text or "", compiled):
+                    rows.append(k)
+                    found.append((label, a, b, text[a:b]))
+                if len(rows) >= BATCH_ROWS:
+                    yield _batch(sids, rows, found)
+                    rows, found = [], []
+            if rows:
+                yield _batch(sids, rows, found)
+
+    kind = sentences.schema["sid"].dataType.simpleString()
+    hits = sentences.select("sid", F.col("text")).mapInArrow(run, f"sid {kind}, label string, start int, end int, match string")
     return _shape(hits, "regex")
 
 
+def _batch(sids: pa.Array, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
+    label, start, end, match = zip(*found, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [sids.take(pa.array(rows, pa.int32())), pa.array(label, pa.string()), pa.array(start, pa.int32()), pa.array(end, pa.int32()),
+         pa.array(match, pa.string())], names=["sid", "label", "start", "end", "match"])
+
+
 def dictionary_matches(sentences: DataFrame, terms: DataFrame, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """All occurrences of terms(term, ...) in sentences, overlaps included; repeated terms match repeatedly.
 
-    Sentences are cut into substrings of the lengths that terms have, and joined by equality.
+    Texts are cut into blocks of characters, blocks into substrings of the lengths that terms have, and these are joined by
+    equality: linear in the text, and no row holds more than a block. Instead of the text a match carries `near`, the match
+    with BEFORE characters before it and one after it, and `pos`, its place there.
     """
     own = terms.where("term <> ''")
     sizes = sorted(r[0] for r in own.select(F.length("term")).distinct().collect())  # lengths, not terms
-    size = own.count()
-    side = F.broadcast(own) if size <= broadcast_terms else own
-    cuts = F.flatten(F.array(*[
-        F.when(F.length("text") >= n, _cut(n)).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>")) for n in sizes])) if sizes else \
-        F.array().cast("array<struct<start:int,end:int,match:string>>")
-    return sentences.withColumn("__c", cuts).select(*sentences.columns, F.inline("__c")).join(side, F.col("match") == F.col("term")).drop("term")
+    side = F.broadcast(own) if own.count() <= broadcast_terms else own
+    keep = [c for c in sentences.columns if c != "text"]
+    reach = BLOCK + BEFORE + max(sizes, default=0)
+    blocks = T.let(F.split("text", ""), lambda ch: F.transform(
+        F.sequence(F.lit(0), F.size(ch) - 1, F.lit(BLOCK)),
+        lambda at: F.struct(at.alias("__at"), F.slice(ch, F.greatest(at - BEFORE, F.lit(0)) + 1, F.lit(reach)).alias("__ch"))))
+    none = F.array().cast("array<struct<start:int,end:int,pos:int,near:string>>")
+    cuts = F.flatten(F.array(*[_cut(n) for n in sizes])) if sizes else none
+    pieces = sentences.where(F.length("text") > 0).select(*keep, F.inline(blocks)).select(*keep, F.inline(cuts))
+    return pieces.withColumn("match", F.substring("near", F.col("pos") + 1, F.col("end") - F.col("start"))).join(
+        side, F.col("match") == F.col("term")).drop("term")
 
 
 def _cut(n: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.length("text") - n), lambda i: F.struct(
-        i.alias("start"), (i + n).alias("end"), F.substring(F.col("text"), i + 1, F.lit(n)).alias("match")))
+    """Substrings of n characters that start in the block itself (what is before belongs to the block before)."""
+    ch, at = F.col("__ch"), F.col("__at")
+    lead = F.least(at, F.lit(BEFORE))
+    last = F.least(lead + BLOCK - 1, F.size(ch) - n)
+
+    def one(i: Column) -> Column:
+        pos = F.least(i, F.lit(BEFORE))
+        start = at - lead + i
+        return F.struct(start.alias("start"), (start + n).alias("end"), pos.alias("pos"),
+                        F.array_join(F.slice(ch, i - pos + 1, pos + n + 1), "").alias("near"))
+
+    none = F.array().cast("array<struct<start:int,end:int,pos:int,near:string>>")
+    return F.when(last >= lead, F.transform(F.sequence(lead, F.greatest(last, lead)), one)).otherwise(none)
 
 
 def seed_terms(spark: SparkSession, extra: list[tuple[str, str]] | None = None) -> DataFrame:
     return spark.createDataFrame([*rules.seeds(), *(extra or [])], "term string, label string")
 
 
+def _place() -> tuple[Column, Column, Column]:
+    """A match inside its surroundings."""
+    return F.col("near"), F.col("pos"), F.col("pos") + F.length("match")
+
+
 def seed_candidates(sentences: DataFrame, terms: DataFrame) -> DataFrame:
     """Gazetteer matches; a one-character dynasty or polity needs its context."""
     hits = dictionary_matches(sentences.select("sid", F.col("text")), terms)
     short = F.col("label").isin("DYNASTY", "POLITY") & (F.length("match") == 1)
-    hits = hits.where(~short | T.dynasty_context(F.col("text"), F.col("start"), F.col("end")))
-    return _shape(hits.drop("text"), "seed", F.concat(F.lit("seed:"), F.col("match")))
+    hits = hits.where(~short | T.dynasty_context(*_place()))
+    return _shape(hits, "seed", F.concat(F.lit("seed:"), F.col("match")))
 
 
 def period_people(people: Column, period: Column, policy: str, context: Column) -> Column:
@@ -118,12 +169,12 @@ def person_candidates(sentences: DataFrame, surfaces: DataFrame, short_names: st
         raise ValueError("short names are exclude, context or all")
     base = sentences.select("sid", "text", *(["period"] if "period" in sentences.columns else [F.lit(None).cast("string").alias("period")]))
     hits = dictionary_matches(base, surfaces.select(F.col("name").alias("term"), "people"))
-    place = (F.col("text"), F.col("start"), F.col("end"))
+    place = _place()
     if short_names != "all":
         hits = hits.where((F.length("match") != 2) | (T.short_name_context(*place) if short_names == "context" else F.lit(False)))
     hits = hits.withColumn("people", period_people(F.col("people"), F.col("period"), period_policy, T.person_context(*place))).where("size(people) > 0")
     ids = F.transform(F.array_sort(F.transform("people", lambda p: p["person_id"])), lambda i: F.concat(F.lit("cbdb:"), i.cast("string")))
-    hits = hits.withColumn("ids", ids).withColumn("label", F.lit("PERSON")).drop("text")
+    hits = hits.withColumn("ids", ids).withColumn("label", F.lit("PERSON"))
     return _shape(hits, "cbdb", F.when(F.size("ids") == 1, F.col("ids")[0]), F.col("match"), F.col("ids"),
                   F.when(F.size("ids") == 1, "linked").otherwise("ambiguous"))
 
@@ -131,5 +182,5 @@ def person_candidates(sentences: DataFrame, surfaces: DataFrame, short_names: st
 def place_candidates(sentences: DataFrame, places: DataFrame) -> DataFrame:
     """Places(place_id, name) by surface, grouped per span."""
     grouped = places.groupBy(F.col("name").alias("term")).agg(F.array_sort(F.collect_set("place_id")).alias("ids"))
-    hits = dictionary_matches(sentences.select("sid", "text"), grouped).withColumn("label", F.lit("LOCATION")).drop("text")
+    hits = dictionary_matches(sentences.select("sid", "text"), grouped).withColumn("label", F.lit("LOCATION"))
     return _shape(hits, "chgis", F.col("ids")[0], F.col("match"), F.col("ids"), F.when(F.size("ids") > 1, "ambiguous").otherwise("resolved"))

@@ -13,7 +13,9 @@ LATIN, HAN = "thanreodsi.,", "太守漢朝元州年唐初入。，"
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "source")
+    """A table of fewer splits than cores (one row group) is dealt out first; a large one never is."""
+    docs, cores = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "source"), spark.sparkContext.defaultParallelism
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
 
 
 def raw_lines(spark: SparkSession, d: str) -> DataFrame:
