@@ -186,3 +186,15 @@ def test_entry_imports():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_dictionary_blocks(spark):
+    """Matches across block edges, context at them, null and empty texts."""
+    text = "甲" * (C.BLOCK - 2) + "長安漢朝" + "乙" * (C.BLOCK - 4) + "南陽郡長安"
+    rows = spark.createDataFrame([("a", text), ("b", None), ("c", ""), ("d", "漢")], "sid string, text string")
+    terms = [("長安", "LOCATION"), ("南陽郡", "LOCATION"), ("漢", "DYNASTY"), ("安漢", "LOCATION")]
+    got = C.seed_candidates(rows, spark.createDataFrame(terms, "term string, label string"))
+    want = {("a", i, i + len(t), t) for t, _ in terms for i in range(len(text)) if text.startswith(t, i)}
+    found = [(r.sid, r.start, r.end, r.text) for r in got.collect()]
+    assert sorted(found) == sorted(want)
+    assert C.pattern_candidates(rows.where("sid <> 'a'")).count() == 0
