@@ -8,6 +8,7 @@ Latin script, and texts with unusual white space, go to the library whole.
 from __future__ import annotations
 
 import re
+import struct
 from operator import itemgetter
 
 import numpy as np
@@ -55,65 +56,79 @@ class Encoder:
         #: A vocabulary with word ends ignores white space; the other keeps one blank before a word.
         self.word_ends = bool(getattr(self.model, "end_of_word_suffix", None))
         self.easy = re.compile(r"[!-~¡-¬®-įı-ɏ]*")
+        # Where letters and numbers mean the same to `re` as to the library: no superscript or fraction.
+        self.same = re.compile(r"[!-~¡-¬®-±´-¸º»¿-įı-ɏ]*")
         if self.word_ends:
             self.units = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            self.quick = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
         else:
             self.units = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        self.odd_space = re.compile(r"^[ \n]|[ \n]$|[ \n][ \n]")
+            self.quick = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+")
         self.plain = _Cache(self._plain)
-        self.after_blank = _Cache(lambda w: self._plain(" " + w))
-        self.pieces: dict[str, bytes] = {}
+        self.after_blank = _Cache(self._after)
+        self.pieces = _Cache(self._piece)
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _piece(self, unit: str) -> bytes:
+        mapped = unit if unit.isascii() and unit.isprintable() and " " not in unit else "".join(
+            [self.alphabet[b] for b in unit.encode("utf-8")])
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _plain(self, word: str) -> bytes:
-        if not self.easy.fullmatch(word.lstrip(" ") if not self.word_ends else word):
+        bare = word[1:] if word[:1] == " " else word
+        if not self.easy.fullmatch(bare):
             return self._whole(word)
         if self.word_ends:
-            word = word.lower()
-        out: list[int] = []
-        for unit in self.units.findall(word):
-            mapped = unit if unit.isascii() and " " not in unit else "".join(
-                [self.alphabet[b] for b in unit.encode("utf-8")])
-            out += [t.id for t in self.model.tokenize(mapped)]
-        return np.asarray(out, "<u4").tobytes()
+            word = bare = word.lower()
+        units = (self.quick if self.same.fullmatch(bare) else self.units).findall(word)
+        pieces = self.pieces
+        return pieces[units[0]] if len(units) == 1 else b"".join([pieces[u] for u in units])
+
+    def _after(self, word: str) -> bytes:
+        """A word after a blank; one that starts a line carries the newline instead."""
+        if word[:1] == "\n":
+            return self.pieces["\n"] + self.plain[word[1:]]
+        return self._plain(" " + word)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        odd = _odd(text)
         if self.word_ends:
             # Only ASCII white space separates here; other spaces stay inside a word, which then goes to the library.
-            return self.plain.join([str(w, "utf-8") for w in text.encode("utf-8").split()] if not text.isascii()
-                                   and _ODD.search(text) else text.split())
-        if _ODD.search(text):
+            return self.plain.join([str(w, "utf-8") for w in text.encode("utf-8").split()] if odd else text.split())
+        if odd:
             return self._whole(text)
-        if self.odd_space.search(text):
+        if text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
             return self._whole(text) if len(text) < 200 else b"".join(
                 [self._unit(u) for u in self.units.findall(text)])
-        out = []
-        newline = self.plain["\n"] if "\n" in text else b""
-        for k, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            if k:
-                out.append(newline)
-            out.append(self.plain[words[0]])
-            if len(words) > 1:
-                out.append(self.after_blank.join(words[1:]))
-        return b"".join(out)
+        first, *words = text.replace("\n", " \n").split(" ")
+        return self.plain[first] + self.after_blank.join(words)
 
     def _unit(self, unit: str) -> bytes:
         if unit.isspace():
-            if unit not in self.pieces:
-                self.pieces[unit] = np.asarray(
-                    [t.id for t in self.model.tokenize("".join([self.alphabet[b] for b in unit.encode("utf-8")]))],
-                    "<u4").tobytes()
             return self.pieces[unit]
         return self.after_blank[unit[1:]] if unit[0] == " " else self.plain[unit]
 
 
 #: White space, or characters some engines count as such, beyond blank and newline.
 _ODD = re.compile(r"[^\S \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0̀-￿\U00010000-\U0010ffff]")
+#: Blank, newline and the printing part of Latin-1.
+_LATIN = bytes([10, *range(32, 127), *range(161, 256)])
+
+
+def _odd(text: str) -> bool:
+    try:
+        if not text.encode("latin-1").translate(None, _LATIN):
+            return False
+    except UnicodeEncodeError:
+        pass
+    return _ODD.search(text) is not None
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
