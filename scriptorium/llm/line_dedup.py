@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, stage, unstage
+from .common import SPACE, release_shuffles, stage, unstage
 
 MIN_WORDS = 50
 
@@ -37,8 +37,8 @@ def _rank(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     return out
 
 
-def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(uid, line): positions of deleted lines. rows: uid, doc_id, text."""
+def later_copies(rows: DataFrame, min_words: int = MIN_WORDS, spent: list[DataFrame] | None = None) -> DataFrame:
+    """(uid, line): positions of deleted lines. rows: uid, doc_id, text. Staged tables that the result reads are added to spent."""
     lines = (
         rows.where("text is not null")
         .select("uid", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "s"))
@@ -78,6 +78,9 @@ def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         following = _rank(pairs.withColumnRenamed("r", "r1"), ["r1", "r2"], "line-rank")
         unstage(rank)
         rank, level = following, level + 1
+    unstage(cores, rank)
+    if spent is not None:
+        spent += [seq, *named]
     every = named[0]
     for x in named[1:]:
         every = every.union(x)
@@ -91,9 +94,13 @@ def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with text rewritten, plus n_lines, n_removed, removed (line numbers from 0) and left (worded lines kept)."""
     rows = stage(docs.drop("n_lines", "n_removed", "removed", "left").withColumn("__uid", F.monotonically_increasing_id()), "line-docs")
-    gone = later_copies(rows.select(F.col("__uid").alias("uid"), "doc_id", "text"), min_words)
-    gone = gone.groupBy(F.col("uid").alias("__uid")).agg(F.sort_array(F.collect_list("line")).alias("removed"))
-    out = rows.join(stage(gone, "line-gone"), "__uid", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    spent: list[DataFrame] = []
+    gone = later_copies(rows.select(F.col("__uid").alias("uid"), "doc_id", "text"), min_words, spent)
+    gone = stage(gone.groupBy(F.col("uid").alias("__uid")).agg(F.sort_array(F.collect_list("line")).alias("removed")), "line-gone")
+    unstage(*spent)
+    release_shuffles(docs.sparkSession)
+    # A merge join at every size: deletions grow with the corpus, so a broadcast of them would not last.
+    out = rows.join(gone.hint("merge"), "__uid", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
     parts = F.split("text", "\n", -1)
     kept = F.filter(parts, lambda s, k: ~F.array_contains("removed", k))
     worded = F.size(F.filter(kept, lambda s: s.rlike(f"[^{SPACE}]")))
