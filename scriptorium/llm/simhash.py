@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, byte_words, connected_components, let, stage, word_array
+from .common import byte_words, connected_components, stage
 
 WORDS, SEED, RADIUS = 3, 42, 2
 
@@ -97,38 +97,3 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -
     named = named.join(ids, "component", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return rows.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def _shingle_set(text: Column, words: int) -> Column:
-    def cut(w: Column) -> Column:
-        whole = F.array(F.xxhash64(F.array_join(w, " ")))
-        return F.when(F.size(w) < words, whole).otherwise(F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.size(w) - words), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(words)]))))
-    return let(word_array(ascii_lower(text)), cut)
-
-
-def superfluous(docs: DataFrame, radius: int, words: int, similarity: float, broadcast_rows: int = 200_000) -> DataFrame:
-    """(doc_id, th) of documents that a near copy with a smaller (doc_id, th) replaces.
-
-    Fingerprints of `words`-word shingles within the radius give pairs; the Jaccard similarity of the
-    shingle sets of one text per fingerprint confirms them. Equal fingerprints count as copies.
-    """
-    rows = stage(fingerprints(docs, words), "near-fp")
-    distinct = stage(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "th")).alias("rep")), "near-distinct")
-    pairs = stage(links(distinct.select("fp"), radius), "near-pairs")
-    ends = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
-    reps = stage(distinct.join(ends, "fp").select("fp", "rep.doc_id", "rep.th"), "near-reps")
-    wanted = reps.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t")
-    wanted = F.broadcast(wanted) if reps.count() <= broadcast_rows else wanted
-    texts = docs.select("doc_id", text_hash().alias("th"), "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).dropDuplicates(["fp"])
-    sets = stage(texts.select("fp", _shingle_set(F.coalesce("text", F.lit("")), words).alias("s")), "near-sets")
-    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a").join(
-        sets.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    sure = stage(both.where(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "near-sure")
-    comps = connected_components(sure).withColumnRenamed("node", "fp")
-    named = distinct.join(comps, "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
-    keeper = named.groupBy("component").agg(F.min("rep").alias("keep"))
-    named = named.join(keeper, "component").select("fp", "keep")
-    return rows.join(named, "fp").where(~F.struct("doc_id", "th").eqNullSafe(F.col("keep"))).select("doc_id", "th").distinct()

@@ -356,3 +356,44 @@ def test_pipeline_near_stage(spark, tmp_path):
     kept = sorted(r["doc_id"] for r in cp.near(spark, d, "").collect())
     assert kept == [0, 1, 2, 3, 4, 5, 9, 10]
     assert cp.near(spark, d, "").columns == d.columns
+
+
+def brute_near(texts, words=5, similarity=0.8):
+    """Indexes that stay: the smallest of each component of pairs with the similarity."""
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))})
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    return sorted(set(label))
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for i in rng.sample(range(len(w)), n):
+        w[i] = f"x{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+def test_pipeline_near_stage_finds_every_pair(spark, monkeypatch):
+    import corpus_pipeline as cp
+    from scriptorium.llm import near_copies
+
+    rng = random.Random(31)
+    base = [prose(rng, n) for n in (8, 40, 150, 150, 400, 1200)]
+    texts = [*base]
+    for t in base:
+        n = len(t.split())
+        texts += [edited(rng, t, max(1, round(n * x))) for x in (0.012, 0.018, 0.02, 0.021, 0.022, 0.024, 0.03)]
+        texts += [" ".join(t.split()[: round(n * x)]) for x in (0.78, 0.82, 0.9)] + [t.upper().replace(" ", "  ", 1)]
+    texts += [edited(rng, base[2], 2) for _ in range(30)] + ["", None, " \n", "one", "ONE", "one two"]
+    d = docs(spark, texts).select("doc_id", "text", "lang", "source", "n_chars")
+    want = brute_near(texts)
+    for sample in (near_copies.SAMPLE, 1):  # frequent shingles unknown and known
+        monkeypatch.setattr(near_copies, "SAMPLE", sample)
+        assert sorted(r["doc_id"] for r in cp.near(spark, d, "").collect()) == want
+    assert cp.near(spark, d.limit(0), "").count() == 0
