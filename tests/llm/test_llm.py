@@ -397,3 +397,14 @@ def test_pipeline_near_stage_finds_every_pair(spark, monkeypatch):
         monkeypatch.setattr(near_copies, "SAMPLE", sample)
         assert sorted(r["doc_id"] for r in cp.near(spark, d, "").collect()) == want
     assert cp.near(spark, d.limit(0), "").count() == 0
+
+
+def test_pipeline_near_stage_keeps_texts_of_equal_fingerprints(spark):
+    import corpus_pipeline as cp
+
+    rng = random.Random(32)
+    texts = ["a " * 200 + prose(rng, 150, 10**6) for _ in range(3)]
+    assert len({simhash.fingerprint(t, 5) for t in texts}) == 1
+    texts += [edited(rng, texts[1], 1), "a " * 90 + texts[2]]
+    d = docs(spark, texts).select("doc_id", "text", "lang", "source", "n_chars")
+    assert sorted(r["doc_id"] for r in cp.near(spark, d, "").collect()) == brute_near(texts) == [0, 1, 2]
