@@ -4,9 +4,9 @@ An item of w words is compared with windows of w words of a document. Both are m
 shingles (items below five words: one shingle of all their words). The similarity is the weighted
 Jaccard of the multisets: sum of smaller counts over sum of larger counts; a leak has 0.8 or more.
 
-Two exact bounds spare work without losing a leak. Equal sizes n and similarity s need 2ns/(1+s) shared
-shingles, so a document must hold, and a window contain, that many positions whose shingle the item
-has. And sliding a window right past a shingle the item lacks cannot lower the similarity, so
+Two exact bounds spare work without losing a leak. A window of m and an item of n shingles need s(m+n)/(1+s)
+shared ones for a similarity s; m is n, or all shingles of a document that has fewer. So a document must
+hold, and a window contain, that many positions whose shingle the item has. And sliding a window right past a shingle the item lacks cannot lower the similarity, so
 the best window starts at a shared shingle or is the last one; only such windows are looked at.
 
 Windows and items are fingerprinted (SimHash over shingle hashes) and meet by multi-index blocks: eight
@@ -49,12 +49,16 @@ def _shingles(words: Column, k: int) -> Column:
 
 
 def items_of(benchmark: DataFrame, words: int = WORDS) -> DataFrame:
-    """item_id, w words, k words per shingle, sh: shingle hashes, need: shared shingles a window needs."""
+    """item_id, w words, k words per shingle, sh: shingle hashes."""
     split = benchmark.select("item_id", word_array(ascii_lower(F.col("text"))).alias("x")).where(F.size("x") > 0)
     sized = split.select("item_id", "x", F.size("x").alias("w"), F.least(F.size("x"), F.lit(words)).alias("k"))
     sh = F.coalesce(*[F.when(F.col("k") == k, _shingles(F.col("x"), k)) for k in range(1, words + 1)])
-    return sized.select("item_id", "w", "k", sh.alias("sh")).withColumn(
-        "need", F.ceil(F.size("sh") * F.lit(2 * SIMILARITY / (1 + SIMILARITY)) - F.lit(1e-9)).cast("int"))
+    return sized.select("item_id", "w", "k", sh.alias("sh"))
+
+
+def _need(size: Column, n: Column, similarity: float) -> Column:
+    """Shared shingles that the best window of a document of `size` shingles needs for an item of n."""
+    return F.ceil((F.least(size, n) + n) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)).cast("int")
 
 
 def _fingerprints(rows: DataFrame, keys: list[str], array: str) -> DataFrame:
@@ -93,15 +97,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarity:
     items = stage(items_of(benchmark, words), "bench-items")
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most `words` values
     text = docs.select("doc_id", "text").where("text is not null")
-    per_item = items.select("item_id", "k", "need", F.explode("sh").alias("h")).distinct()
-    wanted = _small(per_item.groupBy("k", "h").agg(F.collect_list(F.struct("item_id", "need")).alias("its")))
+    per_item = items.select("item_id", "k", F.size("sh").alias("n"), F.explode("sh").alias("h")).distinct()
+    wanted = _small(per_item.groupBy("k", "h").agg(F.collect_list(F.struct("item_id", "n")).alias("its")))
     found = None
     for k in sizes or [words]:
         split = text.select("doc_id", F.xxhash64("text").alias("th"), word_array(ascii_lower(F.col("text"))).alias("x"))
-        at = split.select("doc_id", "th", F.explode(_shingles(F.col("x"), k)).alias("h"))
-        hits = at.join(wanted.where(F.col("k") == k).select("h", "its"), "h").select("doc_id", "th", F.explode("its").alias("it"))
-        hits = hits.groupBy("doc_id", "th", F.col("it.item_id").alias("item_id"), F.col("it.need").alias("need")).agg(F.count("*").alias("n"))
-        hits = hits.where("n >= need").select("doc_id", "th", "item_id", F.lit(k).alias("k"))
+        at = split.select("doc_id", "th", (F.size("x") - (k - 1)).alias("m"), F.explode(_shingles(F.col("x"), k)).alias("h"))
+        hits = at.join(wanted.where(F.col("k") == k).select("h", "its"), "h").select("doc_id", "th", "m", F.explode("its").alias("it"))
+        hits = hits.groupBy("doc_id", "th", F.col("it.item_id").alias("item_id"), "m", F.col("it.n").alias("n")).agg(F.count("*").alias("held"))
+        hits = hits.where(F.col("held") >= _need(F.col("m"), F.col("n"), similarity)).select("doc_id", "th", "item_id", F.lit(k).alias("k"))
         found = hits if found is None else found.union(hits)
     cand = stage(found, "bench-candidates")
     keys = _small(cand.select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct())
@@ -113,7 +117,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarity:
         part = stage(rows.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), _shingles(F.col("x"), k).alias("ds")), "bench-shingles")
         pair = cand.where(F.col("k") == k).join(items.drop("k"), "item_id").join(
             part, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
-        pair = pair.select("doc_id", "th", "item_id", "w", "need", "sh", "ds", F.size("sh").alias("n"))
+        pair = pair.select("doc_id", "th", "item_id", "w", "sh", "ds", F.size("sh").alias("n"))
+        pair = pair.withColumn("need", _need(F.size("ds"), F.col("n"), similarity))
         hit = F.filter(F.transform("ds", lambda v, i: F.when(F.array_contains("sh", v), i)), lambda i: i.isNotNull())
         pair = stage(pair.withColumn("hit", hit), "bench-hits")
         last = F.greatest(F.lit(0), F.size("ds") - F.col("n"))

@@ -204,6 +204,16 @@ def test_decontamination(spark):
     assert decontam.leaks(docs(spark, []), bench).count() == 0 and decontam.leaks(docs(spark, texts[:3]), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_truncated_items(spark):
+    rng = random.Random(21)
+    items = [(k, prose(rng, n)) for k, n in enumerate((50, 80, 120))]
+    texts = [" ".join(p.split()[:n]) for _, p in items for n in (len(p.split()) * x // 100 for x in (76, 80, 84, 88, 94))]
+    texts += [" ".join(items[0][1].split()[6:]), " ".join(items[0][1].split()[:44]) + " x", " ".join(items[1][1].split()[3:75])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs(spark, texts), bench).collect()}
+    assert got == brute_leaks(texts, items) and len(got) >= 12
+
+
 def test_language_model(spark, monkeypatch):
     rng = random.Random(2)
     texts = [prose(rng, rng.randrange(0, 60), 30) for _ in range(60)] + ["", None, "A a A"]
