@@ -198,3 +198,19 @@ def test_dictionary_blocks(spark):
     found = [(r.sid, r.start, r.end, r.text) for r in got.collect()]
     assert sorted(found) == sorted(want)
     assert C.pattern_candidates(rows.where("sid <> 'a'")).count() == 0
+
+
+def test_stream_yields_patterns_and_gazetteer(spark, tmp_path):
+    from scriptorium.streaming.annotate import stream_candidates
+
+    text = "高祖入漢，為太守。建武元年至長安城。《史記》曰。"
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame([("r1", text)], "id string, text string").write.mode("append").json(f"{tmp_path}/in")
+    run = stream_candidates(spark, f"{tmp_path}/in").writeStream.format("memory").queryName("streamed").outputMode("append").option(
+        "checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    assert run.awaitTermination(60)
+    sents = G.sentences(spark.createDataFrame([("r1", text)], "id string, text string")).select("sid", "text")
+    want = C.pattern_candidates(sents).unionByName(C.seed_candidates(sents, C.seed_terms(spark)))
+    rows = lambda df: sorted((r.sid, r.start, r.end, r.label, r.source) for r in df.collect())
+    got = rows(spark.table("streamed"))
+    assert got == rows(want) and {r[4] for r in got} == {r.source for r in want.select("source").distinct().collect()} and len({r[4] for r in got}) == 2
