@@ -1,13 +1,16 @@
 """Operator 2: quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Four rules bound a ratio of a document from above: symbols per word, duplicate lines per worded line,
-words in repeated windows per word, and mean word length. A grid of cutoffs per rule is tested on
-labelled holdout documents, stratum by stratum. For a cutoff that rejects k of n good documents of a
-stratum the exact binomial tail P(X <= k), X ~ Binomial(n, alpha), is the p-value of "false rejection
-exceeds alpha". Bonferroni over all strata, rules and cutoffs keeps the chance of any wrong selection below
-delta. Of the certified cutoffs the one is taken that rejects the larger share of bad holdout documents
-beyond four times its share of good ones (ties: the looser); without one a rule rejects nothing in that
-stratum. alpha is `risk` shared by the rules, so false rejections by any rule stay within `risk`.
+words in repeated windows per word, and mean word length. Labelled documents are dealt by a hash of doc_id
+into a tuning third and a holdout. The tuning part lays out a path of rule sets per stratum, from loose
+to strict: set t takes, for each rule, the strictest cutoff that rejects at most a quarter of the share BUDGETS[t]
+of good tuning documents and pays (rejects a larger share of bad ones than four times that of good ones).
+The holdout then tests the sets in that order: a set that rejects k of n good holdout documents has the
+exact binomial tail P(X <= k), X ~ Binomial(n, risk), as p-value of "false rejection exceeds risk", and testing
+stops at the first set whose p-value is above delta / strata (fixed-sequence testing within a stratum, Bonferroni
+over strata). So with confidence 1 - delta no stratum loses more than `risk` of its good documents to all rules
+together. The certified set that pays most is used; a stratum without one rejects by the base rule only. With
+no rejected good document a stratum needs ln(strata / delta) / -ln(1 - risk) good holdout documents (86 at four strata).
 
 Null and empty texts have no word and fail the base rule. Null strata form one stratum. Labels other
 than 0 and 1 count nowhere; repeated labels of a doc_id are good if any is. Repeated rows each get a row. Empty
@@ -30,64 +33,68 @@ GRID = {
     "word_length": (40.0, 30.0, 20.0, 15.0, 12.0, 10.0, 9.0, 8.0, 7.0),
 }
 RISK, DELTA = 0.05, 0.05
+#: Shares of good tuning documents that the rule sets of a path may reject together, loosest first.
+BUDGETS = (0.0, 0.004, 0.008, 0.012, 0.016, 0.02, 0.025, 0.03, 0.035, 0.04, 0.045)
 
 
 def features(docs: DataFrame, *keep: str) -> DataFrame:
     """keep columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines; row-local."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda s: s.rlike(f"[^{SPACE}]"))
-    words = word_array(F.col("text"))
-    def keys(w: Column) -> Column:
-        """Keys of windows by position. let() keeps a lambda from splitting the text again for every element."""
-        shift = F.length(F.bin(F.size(w)))
-        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.call_function(
-            "shiftleft", F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), shift).bitwiseOR(i.cast("long")))
 
     def measured(w: Column) -> Column:
-        return F.struct(F.size(w).alias("n"), F.when(F.size(w) >= 4, keys(w)).alias("k"))
+        return F.struct(F.size(w).cast("long").alias("n"), F.when(F.size(w) >= 4, _cover(w)).otherwise(F.lit(0).cast("long")).alias("rep"))
 
     def line_counts(x: Column) -> Column:
         return F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"))
 
-    step = docs.select(*keep, text.alias("__t"), let(words, measured).alias("__m"), let(lines, line_counts).alias("__l"))
-    plain = F.translate("__t", " \t\n\x0b\x0c\r", "")
-    counts = step.select(
+    step = docs.select(*keep, text.alias("__t"), let(word_array(F.col("text")), measured).alias("__m"), let(lines, line_counts).alias("__l"))
+    return step.select(
         *keep,
-        F.col("__m.n").cast("long").alias("n_words"),
-        F.length(plain).cast("long").alias("word_chars"),
+        F.col("__m.n").alias("n_words"),
+        F.length(F.translate("__t", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length("__t") - F.length(F.translate("__t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         F.col("__l.dup").cast("long").alias("n_dup_lines"),
         F.col("__l.n").cast("long").alias("n_lines"),
-        F.sort_array("__m.k").alias("__k"))
-    packed = F.struct(F.col("__k").alias("k"), F.length(F.bin("n_words")).alias("b"))
-    return counts.withColumn("n_repeat_words", F.when(F.col("__k").isNull(), F.lit(0).cast("long")).otherwise(_cover(packed))).drop("__k")
+        F.col("__m.rep").alias("n_repeat_words"))
 
 
-def _cover(packed: Column) -> Column:
+def _cover(w: Column) -> Column:
     """Words covered by 3-word windows found twice or more in the text.
 
     A window's 64-bit hash gives its low bits for its position, so one sort of longs brings equal windows
-    together; positions of those with an equal neighbour are sorted again and their cover is summed.
+    together. Windows with an equal neighbour are hashed and sorted once more with another hash, as the
+    bits left may be few for a long text; positions of those that still have one are sorted and their cover is summed.
     """
-    def body(p: Column) -> Column:
-        keys, bits = p["k"], p["b"]
+    bits = F.length(F.bin(F.size(w)))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+
+    def key(at: Column, *salt: Column) -> Column:
+        h = F.xxhash64(*salt, F.get(w, at), F.get(w, at + 1), F.get(w, at + 2))
+        return F.call_function("shiftleft", h, bits).bitwiseOR(at.cast("long"))
+
+    def twins(keys: Column) -> Column:
         group = lambda x: F.call_function("shiftright", x, bits)
-        mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-        twin = F.filter(keys, lambda x, i: (
+        return F.filter(keys, lambda x, i: (
             F.coalesce(group(F.get(keys, i - 1)) == group(x), F.lit(False))
             | F.coalesce(group(F.get(keys, i + 1)) == group(x), F.lit(False))))
-        at = F.sort_array(F.transform(twin, lambda x: x.bitwiseAND(mask)))
-        start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("sum"))
-        return F.aggregate(at, start, lambda s, q: F.struct(
-            q.alias("last"), (s["sum"] + F.least(F.lit(3).cast("long"), q - s["last"])).alias("sum")), lambda s: s["sum"])
 
-    return let(packed, body)
+    place = lambda x: x.bitwiseAND(mask).cast("int")
+    first = let(F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: key(i))), twins)
+    sure = let(F.sort_array(F.transform(first, lambda x: key(place(x), F.lit("again")))), twins)
+    at = F.sort_array(F.transform(sure, lambda x: x.bitwiseAND(mask)))
+    start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("sum"))
+    return F.aggregate(at, start, lambda s, q: F.struct(
+        q.alias("last"), (s["sum"] + F.least(F.lit(3).cast("long"), q - s["last"])).alias("sum")), lambda s: s["sum"])
+
+
+#: Ratio of each rule, as SQL: one string parses faster than hundreds of column calls.
+RATIOS = {"symbols": "n_symbols / greatest(n_words, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
+          "repeats": "n_repeat_words / greatest(n_words, 1)", "word_length": "word_chars / greatest(n_words, 1)"}
 
 
 def ratios() -> dict[str, Column]:
-    per = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    return {"symbols": per("n_symbols", "n_words"), "dup_lines": per("n_dup_lines", "n_lines"),
-            "repeats": per("n_repeat_words", "n_words"), "word_length": per("word_chars", "n_words")}
+    return {r: F.expr(x) for r, x in RATIOS.items()}
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
@@ -107,44 +114,57 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n, F.lit(1.0)).otherwise(F.least(tail, F.lit(1.0)))
 
 
+def _paths(tuning: DataFrame, stratum: str, grid: dict[str, tuple[float, ...]]) -> DataFrame:
+    """stratum, path: per budget a struct of one cutoff per rule (null: none); stricter as the budget grows."""
+    counts = [F.expr(f"count_if(quality = {y} AND {RATIOS[r]} > {c}D) AS {k}_{r}{j}") for r in RULES for j, c in enumerate(grid[r]) for k, y in (("k", 1), ("b", 0))]
+    counted = tuning.groupBy(stratum).agg(F.expr("greatest(count_if(quality = 1), 1) AS n"), F.expr("greatest(count_if(quality = 0), 1) AS m"), *counts)
+
+    def paying(r: str) -> str:
+        tried = ", ".join(f"named_struct('c', {c}D, 'lost', k_{r}{j} / n, 'won', b_{r}{j} / m)" for j, c in enumerate(grid[r]))
+        return f"filter(array({tried}), x -> x.won > 4 * x.lost)"
+
+    cut = ", ".join(f"'{r}', array_min(transform(filter(pay_{r}, x -> x.lost <= budget / {len(RULES)}), x -> x.c))" for r in RULES)
+    budgets = ", ".join(f"{b}D" for b in BUDGETS)
+    return counted.select(F.col(stratum), *[F.expr(f"{paying(r)} AS pay_{r}") for r in RULES]).select(
+        F.col(stratum), F.expr(f"transform(array({budgets}), budget -> named_struct({cut}))").alias("path"))
+
+
 def thresholds(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA,
                grid: dict[str, tuple[float, ...]] = GRID) -> DataFrame:
-    """One row per stratum with the certified cutoff of each rule (null: none)."""
+    """One row per stratum of the holdout: certified cutoff of each rule (null: none), good holdout documents and good ones rejected."""
     marks = labels.groupBy("doc_id").agg(F.max(F.when(F.col("quality").isin(0, 1), F.col("quality"))).alias("quality")).where("quality is not null")
-    tests = [(r, c) for r in RULES for c in grid[r]]
-    value = ratios()
-    held = measured.where("not base_failed").join(marks, "doc_id")
-    good, bad = F.col("quality") == 1, F.col("quality") == 0
-    counted = held.groupBy(stratum).agg(F.count(F.when(good, 1)).alias("n"), F.count(F.when(bad, 1)).alias("m"), *[
-        F.count(F.when(mark & (value[r] > c), 1)).alias(f"{k}{j}") for j, (r, c) in enumerate(tests) for k, mark in (("k", good), ("b", bad))])
-    strata = counted.withColumn("__m", F.lit(len(tests)) * F.expr("count(*) over ()"))
-    alpha = risk / len(RULES)
-    out = []
-    for r in RULES:
-        own = []
-        for j, (rule, c) in enumerate(tests):
-            if rule == r:
-                safe = binomial_tail(F.col(f"k{j}"), F.col("n"), alpha) <= F.lit(delta) / F.col("__m")
-                gain = F.col(f"b{j}") / F.greatest("m", F.lit(1)) - 4 * F.col(f"k{j}") / F.greatest("n", F.lit(1))
-                own.append(F.when(safe & (gain > 0), F.struct(gain.alias("gain"), F.lit(c).alias("c"))))
-        out.append(F.array_max(F.array(*own))["c"].alias(f"max_{r}"))
-    return strata.select(F.col(stratum), *out)
+    held = measured.where("not base_failed").join(marks, "doc_id").withColumn("__tune", F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0)
+    paths = _paths(held.where("__tune"), stratum, grid).withColumnRenamed(stratum, "__s")
+    broken = " OR ".join(f"coalesce({RATIOS[r]} > cut.{r}, false)" for r in RULES)
+    tested = held.where("not __tune").join(paths, F.col(stratum).eqNullSafe(F.col("__s"))).select(
+        stratum, "quality", "path", F.expr(f"transform(path, cut -> {broken})").alias("hit"))
+    share = lambda q: F.expr("array(" + ", ".join(f"count_if(quality = {q} AND hit[{t}])" for t in range(len(BUDGETS))) + ")")
+    sums = tested.groupBy(stratum).agg(F.first("path").alias("path"), F.expr("count_if(quality = 1) AS n"), F.expr("count_if(quality = 0) AS m"),
+                                       share(1).alias("k"), share(0).alias("b"))
+    sums = sums.withColumn("__m", F.expr("count(*) over ()"))  # one row per stratum
+    # from n * risk rejected on, the tail is about a half or more and need not be summed
+    passes = F.transform("k", lambda k: F.when((k < F.col("n") * risk) & (F.col("n") > 0), binomial_tail(k, F.col("n"), risk)).otherwise(F.lit(1.0)) <= F.lit(delta) / F.col("__m"))
+    sums = sums.withColumn("passes", passes)
+    until = F.coalesce(F.array_position("passes", False) - 1, F.lit(0))
+    until = F.when(until < 0, F.size("passes")).otherwise(until).cast("int")
+    gain = lambda t: F.get("b", t) / F.greatest("m", F.lit(1)) - 4 * F.get("k", t) / F.greatest("n", F.lit(1))
+    rated = F.transform(F.filter(F.sequence(F.lit(0), F.lit(len(BUDGETS) - 1)), lambda t: t < F.col("until")), lambda t: F.struct(
+        gain(t).alias("gain"), (-t).alias("loosest"), F.get("path", t).alias("cut"), F.get("k", t).alias("k")))
+    best = sums.withColumn("until", until).withColumn("best", F.array_max(rated))
+    return best.select(F.col(stratum), *[F.col(f"best.cut.{r}").alias(f"max_{r}") for r in RULES], "n", F.col("best.k").alias("rejected"))
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """doc_id, counts, base_failed, kept and the first rule that rejects, for every row.
 
-    Counts are taken twice, once for the labelled rows alone, rather than kept: they cost less than a shuffle.
-    The table of cutoffs has one row per stratum; it is broadcast only while the optimizer sees it small.
+    Texts are read once, in place: their counts are written, labels meet counts by doc_id, and the table of cutoffs, one row
+    per stratum, is broadcast only while the optimizer sees it small.
     """
-    def measure(part: DataFrame) -> DataFrame:
-        got = features(part.select("doc_id", stratum, "text"), "doc_id", stratum)
-        return got.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-
-    labelled = docs.join(labels.where("quality in (0, 1)").select("doc_id").distinct(), "doc_id", "left_semi")
-    counts = stage(measure(labelled), "rule-counts")
+    counts = features(docs.select("doc_id", stratum, "text"), "doc_id", stratum)
+    counts = counts.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    counts = stage(counts, "rule-counts")
     cut = stage(thresholds(counts, labels, stratum, risk, delta).withColumnRenamed(stratum, "__s"), "rule-cutoffs")
-    rows = measure(docs).join(cut, F.col(stratum).eqNullSafe(F.col("__s")), "left")
+    rows = counts.join(cut, F.col(stratum).eqNullSafe(F.col("__s")), "left")
     value = ratios()
     broken = F.lit(None).cast("string")
     for r in reversed(RULES):

@@ -28,14 +28,17 @@ def prose(rng, n, vocabulary_=400):
     return " ".join(f"w{rng.randrange(vocabulary_)}" for _ in range(n))
 
 
-ODD = ["", None, "a", "  a  b", "l'été's ÉCOLE 12ab!?'ll", "x \n y", "\n", "日本語 text 'S", "a\x1cb c\x85d", "tab\there", "<|endoftext|> x", "a  " + "b " * 300]
+ODD = ["", None, "a", "  a  b", "l'été's ÉCOLE 12ab!?'ll", "x \n y", "\n", "日本語 text 'S", "a\x1cb c\x85d", "tab\there", "<|endoftext|> x", "a<|endoftext|>b <|ENDOFTEXT|>", "<|startoftext|>",
+       "a  " + "b " * 300, "word " * 5000 + "<|endoftext|>"]
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_equals_library(name):
-    enc = tokenizing.encoder(vocabulary(name))
+    from tokenizers import Tokenizer
+
+    enc, library = tokenizing.encoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
     for t in ODD:
-        want = enc.library.encode(t or "", add_special_tokens=False).ids
+        want = library.encode(t or "", add_special_tokens=False).ids
         assert np.frombuffer(enc.ids(t), "<u4").tolist() == want
 
 
@@ -80,7 +83,7 @@ def test_quality_rules(spark):
     texts = [prose(rng, 80) for _ in range(60)] + [prose(rng, 60) + " ###" * 40 for _ in range(30)] + ["a b c a b c x", "x\nx\n y\nx", "é " * 70, "", None, prose(rng, 3000, 12)]
     d = docs(spark, texts)
     labels = spark.createDataFrame([(k, int(k < 60), 0) for k in range(90)] + [(3, 1, 0), (999, None, 0)], "doc_id long, quality int, toxic int")
-    got = {r["doc_id"]: r for r in quality_rules.apply_rules(d, labels, risk=0.9, delta=0.9).collect()}
+    got = {r["doc_id"]: r for r in quality_rules.apply_rules(d, labels, risk=0.3, delta=0.3).collect()}
     assert len(got) == len(texts)
     for k, t in enumerate(texts):
         r = got[k]
@@ -91,6 +94,63 @@ def test_quality_rules(spark):
     assert quality_rules.apply_rules(d.limit(0), labels.limit(0)).count() == 0
 
 
+def brute_thresholds(spark, rows, labels, risk, delta):
+    """(stratum, cutoffs) by the definition; rows: doc_id, stratum, ratios by rule."""
+    q = quality_rules
+    ids = sorted({r[0] for r in rows if r[0] is not None})
+    part = {r["i"]: r["t"] for r in spark.createDataFrame([(i,) for i in ids], "i long").select("i", (F.pmod(F.xxhash64("i"), F.lit(3)) == 0).alias("t")).collect()}
+    mark = {}
+    for i, y, _ in labels:
+        if y in (0, 1):
+            mark[i] = max(y, mark.get(i, 0))
+    held = [(part[i], s, v, mark[i]) for i, s, v in rows if i in mark]
+    strata = {s for t, s, _, _ in held if not t and any(u and z == s for u, z, _, _ in held)}
+    out = {}
+    for s in strata:
+        side = lambda t, y: [v for u, z, v, x in held if (u, z, x) == (t, s, y)]
+        good, bad = side(True, 1), side(True, 0)
+        rate = lambda vs, f: sum(map(f, vs)) / max(1, len(vs))
+        best, n = None, len(side(False, 1))
+        for t, budget in enumerate(q.BUDGETS):
+            cut = {}
+            for r in q.RULES:
+                pay = [c for c in q.GRID[r] if rate(good, lambda v, c=c: v[r] > c) <= budget / 4 and rate(bad, lambda v, c=c: v[r] > c) > 4 * rate(good, lambda v, c=c: v[r] > c)]
+                cut[r] = min(pay, default=None)
+            hit = lambda v: any(c is not None and v[r] > c for r, c in cut.items())
+            k = sum(map(hit, side(False, 1)))
+            if not n or sum(comb(n, j) * risk**j * (1 - risk) ** (n - j) for j in range(k + 1)) > delta / len(strata):
+                break
+            gain = (rate(side(False, 0), hit) - 4 * k / n, -t)
+            if best is None or gain > best[0]:
+                best = gain, cut
+        out[s] = best[1] if best else dict.fromkeys(q.RULES)
+    return out
+
+
+def test_quality_rules_certify(spark):
+    rng = random.Random(17)
+    texts, marks, strata = [], [], []
+    for k in range(700):
+        lang = "en" if k % 7 else "de"
+        good = rng.random() < 0.8
+        t = prose(rng, rng.randrange(55, 90), 5000)
+        if not good and rng.random() < 0.7 or rng.random() < 0.02:
+            t = rng.choice((t.replace(" ", " ## ", 30), "\n".join([t, *["same line of words here"] * 6]), t.replace("w", "wwwwwwwwwwwwwww")))
+        texts.append(t), marks.append((k, int(good), 0)), strata.append(lang)
+    d = spark.createDataFrame([(k, t, s) for k, (t, s) in enumerate(zip(texts, strata))], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    measured = quality_rules.features(d, "doc_id", "lang").withColumn("base_failed", F.lit(False))
+    rows = [(r["doc_id"], r["lang"], {n: r[n] for n in quality_rules.RULES}) for r in measured.select("doc_id", "lang", *[c.alias(n) for n, c in quality_rules.ratios().items()]).collect()]
+    got = {r["lang"]: r for r in quality_rules.thresholds(measured, labels).collect()}
+    want = brute_thresholds(spark, rows, marks, quality_rules.RISK, quality_rules.DELTA)
+    assert {s: {n: r[f"max_{n}"] for n in quality_rules.RULES} for s, r in got.items()} == want
+    assert any(v is not None for v in want["en"].values()) and not any(v is not None for v in want["de"].values())
+    out = {r["doc_id"]: r for r in quality_rules.apply_rules(d, labels).collect()}
+    for i, s, v in rows:
+        broken = [n for n in quality_rules.RULES if want[s][n] is not None and v[n] > want[s][n]]
+        assert out[i]["kept"] == (not out[i]["base_failed"] and not broken) and (out[i]["base_failed"] or out[i]["rule"] == (broken or [None])[0])
+
+
 def test_binomial_tail(spark):
     rows = [(k, n) for n in (1, 5, 40, 3000) for k in (0, 1, 3, 40) if k <= n]
     got = spark.createDataFrame(rows, "k long, n long").select("k", "n", quality_rules.binomial_tail(F.col("k"), F.col("n"), 0.02).alias("p")).collect()
@@ -349,10 +409,10 @@ def test_factorisation_machine(spark):
     texts = [prose(r, 60) if k % 3 else prose(r, 60).replace(" ", "### ") for k in range(150)] + ["", None]
     d = docs(spark, texts)
     labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(150)] + [(7, None, 0)], "doc_id long, quality int, toxic int")
-    model = fm_classifier.fit(fm_classifier.labelled_part(d, labels, F.col("doc_id") % 2 == 0))
+    model = fm_classifier.fit(d, fm_classifier.marks_of(labels, F.col("doc_id") % 2 == 0))
     got = {r["doc_id"]: r["score"] for r in fm_classifier.score(d.drop("score"), model).collect()}
     assert sum((got[k] >= 0.5) == (k % 3 > 0) for k in range(1, 150, 2)) >= 73 and all(0 <= s <= 1 for s in got.values()) and len(got) == 152
-    empty = fm_classifier.fit(fm_classifier.labelled_part(d, labels.limit(0), F.lit(True)))
+    empty = fm_classifier.fit(d, fm_classifier.marks_of(labels.limit(0)))
     assert all(r["score"] == pytest.approx(0.5) for r in fm_classifier.score(d.drop("score"), empty).limit(3).collect())
 
 
