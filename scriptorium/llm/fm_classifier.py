@@ -6,12 +6,13 @@ in bins, and the length as metadata. A pair of features interacts through the pr
 vectors; the sum over all pairs is scored in linear time as half the difference between the squared sum
 and the sum of squares.
 
-Training takes at most `sample` labelled rows, the first by a hash of doc_id and text (a bounded
-sample, whatever the corpus); only their sparse features reach the driver. Scoring reads every text
-in place, without a shuffle.
+Training takes the texts of at most `sample` labelled doc_ids, the first by a hash of doc_id and label (a bounded
+sample, whatever the corpus). Their ids go to the documents, so no text is shuffled; only their sparse
+features reach the driver. Scoring reads every text in place.
 
 Null and empty texts have structure features only and get a score. Null labels are not learnt from;
-several labels of one doc_id count once each. Without both classes among the labels the score is the
+several labels of one doc_id count once each,
+several texts of one doc_id as the one whose features sort first. Without both classes among the labels the score is the
 prior (0.5 without labels). Repeated rows each get a row; other columns are ignored.
 """
 
@@ -31,6 +32,8 @@ WORD_BITS = 15
 SAMPLE = 6000
 RANK, EPOCHS, RATE, BATCH = 8, 12, 0.08, 64
 _BINS = 12
+#: Words whose bucket a process remembers.
+KEPT_WORDS = 250_000
 _STATS = ("length", "symbols", "capitals", "digits", "marks", "pipes", "bang", "word length", "short", "line length",
           "repeated lines", "distinct words", "non-ascii", "blanks")
 N_WORDS = 1 << WORD_BITS
@@ -45,7 +48,7 @@ class _Buckets(dict):
 
     def __missing__(self, word: bytes) -> int:
         b = zlib.crc32(word) & (N_WORDS - 1)
-        if len(self) < 400_000:
+        if len(self) < KEPT_WORDS:
             self[word] = b
         return b
 
@@ -132,24 +135,27 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
     return model
 
 
-def sample_features(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list, np.ndarray]:
-    """Features of at most `sample` rows of labelled(doc_id, text, label), the least by a hash: fit bound of the model."""
+def sample_features(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> tuple[list, np.ndarray]:
+    """Features and labels of the texts of at most `sample` rows of marks(doc_id, label), the least by a hash: fit bound of the model."""
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             got = [features(t) for t in batch["text"].tolist()]
-            yield pd.DataFrame({"at": [g[0].astype("<i4").tobytes() for g in got], "x": [g[1].astype("<f4").tobytes() for g in got],
-                                "label": batch["label"]})
-
-    keyed = labelled.select("doc_id", "label", "text", F.xxhash64("doc_id", "label", F.xxhash64("text")).alias("h"))
-    chosen = keyed.orderBy("h").limit(sample).select("text", "label")
-    got = chosen.repartition(8).mapInPandas(make, "at binary, x binary, label int").collect()
+            yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "at": [g[0].astype("<i4").tobytes() for g in got],
+                                "x": [g[1].astype("<f4").tobytes() for g in got]})
+
+    chosen = marks.where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id", "label"), "doc_id", "label").limit(sample)
+    ids = F.broadcast(chosen.select(F.col("doc_id").alias("id"), "label"))  # at most `sample` pairs
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id")).select(F.col("id").cast("string").alias("id"), "label", "text")
+    found = texts.mapInPandas(make, "id string, label int, at binary, x binary")
+    # one row per pair leaves each task, however often a row repeats
+    got = found.groupBy("id", "label").agg(F.min(F.struct("at", "x")).alias("f")).select("label", "f.at", "f.x").collect()
     got.sort(key=lambda r: (bytes(r["at"]), bytes(r["x"]), r["label"]))
     return ([(np.frombuffer(r["at"], "<i4").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(np.float64)) for r in got],
             np.array([r["label"] for r in got], np.float64))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    return train(*sample_features(labelled, sample))
+def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Model:
+    return train(*sample_features(docs, marks, sample))
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -164,7 +170,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     return docs.withColumn(name, scored("text"))
 
 
-def labelled_part(docs: DataFrame, labels: DataFrame, learnt) -> DataFrame:
-    """doc_id, text, label of the labelled rows that `learnt`, a column of doc_id, admits."""
-    marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label")).where(learnt)
-    return docs.select("doc_id", "text").where(learnt).join(marks, "doc_id")
+def marks_of(labels: DataFrame, learnt=None) -> DataFrame:
+    """doc_id, label of the usable labels that `learnt`, a column of doc_id, admits."""
+    marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("label"))
+    return marks if learnt is None else marks.where(learnt)

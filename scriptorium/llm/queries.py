@@ -72,7 +72,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
-    model = fm_classifier.fit(fm_classifier.labelled_part(docs, labels, ~held))
+    model = fm_classifier.fit(docs, fm_classifier.marks_of(labels, ~held))
     scored = fm_classifier.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
