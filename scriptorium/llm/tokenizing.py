@@ -2,7 +2,8 @@
 
 Both public vocabularies split text at white space before they merge, so the ids of a text are the
 ids of its words in order. The cache asks the library once per distinct word. Words outside plain
-Latin script, and texts with unusual white space, go to the library whole.
+Latin script, texts with unusual white space and texts that may hold a special token's string go to the
+library whole. As the library does unless told otherwise, such a string in a text becomes the special id.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from operator import itemgetter
 import numpy as np
 
 #: Entries of a cache before new words are encoded without being kept.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -49,7 +50,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.model = self.library.model
         alphabet = _byte_alphabet()
         self.alphabet = [alphabet[b] for b in range(256)]
@@ -96,6 +96,8 @@ class Encoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if "<|" in text:
+            return self._whole(text)
         odd = _odd(text)
         if self.word_ends:
             # Only ASCII white space separates here; other spaces stay inside a word, which then goes to the library.
