@@ -10,9 +10,17 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+#: Bounds of the batches that Python workers get, unless the session sets its own: whole texts can be long.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": (None, str(16 << 20))}
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Make this package importable in Python workers, once per context, wherever the driver runs."""
+    """Make this package importable in Python workers, once per context, wherever the driver runs, and bound their batches."""
     sc = spark.sparkContext
+    set_by_user = sc.getConf()
+    for key, (usual, bound) in BATCHES.items():
+        if not set_by_user.contains(key) and spark.conf.get(key, usual) in (usual, None, "-1", "268435456", "9223372036854775807"):
+            spark.conf.set(key, bound)
     if getattr(sc, "_scriptorium_shipped", False):
         return spark
     root = Path(__file__).resolve().parent
