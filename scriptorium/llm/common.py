@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,62 @@ def open_fs(uri: str):
     return pafs.LocalFileSystem(), uri
 
 
+#: Bits of a sieve: 8 MB, whatever it holds.
+SIEVE_BITS = 1 << 26
+
+
+def sieve(keys: DataFrame, name: str):
+    """A test on columns of longs that holds for every value of keys[name] and for few others.
+
+    A bitset of fixed size, built from per-range bitmaps and broadcast: rows that fail it need not be
+    shuffled to be joined with keys. Beyond its size more rows pass, and the join still decides.
+    """
+    spark = keys.sparkSession
+    at = keys.where(F.col(name).isNotNull()).select((F.pmod(F.col(name), F.lit(SIEVE_BITS)) + 1).alias("p"))  # bitmaps count from 1
+    maps = at.groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
+    each = 32_768  # bits per bitmap
+    bits = np.zeros(SIEVE_BITS // 8, np.uint8)
+    for r in maps.toLocalIterator():  # at most SIEVE_BITS / 32768 bitmaps of 4 KB
+        k = (r["b"] - 1) * each // 8
+        bits[k : k + each // 8] = np.frombuffer(bytes(r["m"]), np.uint8)
+    held = spark.sparkContext.broadcast(bits.tobytes())
+    size = SIEVE_BITS
+
+    @F.pandas_udf("boolean")
+    def test(values: pd.Series) -> pd.Series:
+        own = np.frombuffer(held.value, np.uint8)
+        p = values.to_numpy().astype(np.int64) % size
+        return pd.Series((own[p >> 3] >> (p & 7)).astype(np.uint8) & 1 == 1)
+
+    return test
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of df has them."""
+    own, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in own:
+            n = "_" + n
+        own.add(n.lower())
+        out.append(n)
+    return out
+
+
+def text_hash(column: str = "text") -> Column:
+    """Null and empty texts alike."""
+    return F.xxhash64(F.coalesce(column, F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs less the rows whose doc_id and text hash are in gone(doc_id, th); only rows that a sieve holds back are joined."""
+    h, d, t = unused(docs, "h", "d", "t")
+    keyed = docs.withColumn(h, text_hash())
+    held = sieve(gone, "th")
+    gone = gone.select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    left = keyed.where(held(F.col(h))).join(gone, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(h) == F.col(t)), "left_anti")
+    return keyed.where(~held(F.col(h))).unionByName(left).select(*docs.columns)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate value once and use it several times inside body (a one-element transform)."""
     return F.element_at(F.transform(F.array(value), body), 1)

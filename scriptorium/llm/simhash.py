@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_words, connected_components, stage
+from .common import byte_words, connected_components, stage, text_hash
 
 WORDS, SEED, RADIUS = 3, 42, 2
 
@@ -58,10 +58,6 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return keyed.mapInPandas(make, "doc_id long, th long, fp long")
 
 
-def text_hash() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
-
-
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints that differ in 1 to radius bits; fps has a column fp without repeats."""
     parts = radius // 2 + 1

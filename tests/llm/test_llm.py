@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from scriptorium.llm import chat_format, decontam, fm_classifier, line_dedup, lm_score, packing, quality_rules, simhash, token_coder, tokenizing, warc
+from scriptorium.llm import chat_format, common, decontam, fm_classifier, line_dedup, lm_score, packing, quality_rules, simhash, token_coder, tokenizing, warc
 from scriptorium.llm.queries import vocabulary
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, uid string, score int"
@@ -280,6 +280,8 @@ def test_language_model(spark, monkeypatch):
     fixed = np.ones((lm_score.N_BUCKETS, 4)) / 4 + np.arange(lm_score.N_BUCKETS)[:, None] * [[0.001, 0.002, -0.001, -0.002]]
     monkeypatch.setattr(lm_score, "learn_weights", lambda *a, **k: fixed)
     monkeypatch.setattr(lm_score, "CHUNK", 300)
+    monkeypatch.setattr(lm_score, "SLICE", 70)
+    monkeypatch.setattr(lm_score, "BUCKET_KEYS", 500)
     got = {r["doc_id"]: r for r in lm_score.score_corpus(docs(spark, texts)).collect()}
     seqs = [(t or "").lower().split() + ["</s>"] for t in texts]
     held = [zlib.crc32(str(k).encode()) % 7 == 2 for k in range(len(texts))]
@@ -399,6 +401,24 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_of_repeated_and_tied_rows(spark):
+    rng = random.Random(19)
+    a, b, c = (prose(rng, 30) for _ in range(3))
+    rows = [(None, f"{a}\nx"), (None, f"{a}\nx"), (1, f"{a}\n\n{b}"), (1, f"{b}\n{c}"), (1, f"{a}\n\n{b}"), (2, "short\nshort"), (2, "short\nshort"), (3, None), (3, None), (4, "\n".join([a] * 4))]
+    table = spark.createDataFrame([(i, t, k, "u", "s") for k, (i, t) in enumerate(rows)], "doc_id long, text string, __uid long, th string, gone string")
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "", r["n_removed"]) for r in line_dedup.dedup_lines(table, 20).collect())
+    assert got == sorted([(-1, f"{a}\nx", 0), (-1, "", 2), (1, f"\n{b}", 1), (1, c, 1), (1, "", 2), (2, "short\nshort", 0), (2, "short\nshort", 0), (3, "", 0), (3, "", 0), (4, "", 4)])
+    assert set(table.columns) <= set(line_dedup.dedup_lines(table, 20).columns)
+    assert sorted(r["__uid"] for r in line_dedup.dedup_lines(table, 20).collect()) == list(range(len(rows)))
+
+
+def test_sieve(spark):
+    keys = spark.createDataFrame([(k * 7919 - 50_000_000,) for k in range(20_000)] + [(None,), (-1,), (2**63 - 1,), (-(2**63),)], "k long")
+    test = common.sieve(keys, "k")
+    assert keys.where("k IS NOT NULL").where(~test(F.col("k"))).count() == 0
+    assert spark.range(10**9, 10**9 + 20_000).where(test(F.col("id"))).count() < 100
+
+
 def test_factorisation_machine(spark):
     rng = np.random.default_rng(0)
     m = fm_classifier.Model(0.1, rng.normal(size=fm_classifier.N_FEATURES), rng.normal(size=(fm_classifier.N_FEATURES, 4)))
