@@ -9,8 +9,9 @@ Counting is a distributed dictionary. Documents are cut into chunks of bounded s
 each n-gram it holds once (so frequent n-grams shrink before any shuffle), as sorted 52-bit keys,
 delta-coded and compressed, cut by key range. A bucket of keys sums the counts of all chunks and
 answers each chunk with the counts of its own keys, in its order. Nothing is pruned or sampled, all
-sides are balanced by hashing, and no task holds more than a chunk or a bucket. With K distinct
-n-grams the expected share of keys that clash is K / 2**52.
+sides are balanced by hashing, and no task holds more than a chunk or a bucket. A message is one chunk's
+keys in one bucket; empty ones are not sent, so there are never more messages than keys of chunks, but
+messages get shorter as the corpus grows. With K distinct n-grams the expected share of keys that clash is K / 2**52.
 
 Null and empty texts are one end token. A null doc_id counts as the empty string in folds. Repeated rows
 are separate documents. Without training documents all counts are zero and scores come from the
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 from .common import byte_words, release_shuffles, stage, unstage
 
 #: Tokens of a chunk, keys of a bucket, EM rounds; one of FOLDS training documents is deleted.
-CHUNK, BUCKET_KEYS, ROUNDS, FOLDS = 1_500_000, 2_500_000, 10, 12
+CHUNK, BUCKET_KEYS, ROUNDS, FOLDS = 1_000_000, 2_000_000, 10, 12
+#: Tokens whose estimates are held at once.
+SLICE = 100_000
 KEY_BITS = 52
 N_BUCKETS = 33
 _END, _BOS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -137,44 +140,61 @@ class _Chunk:
         self.folds = np.frombuffer(row["folds"], "u1")
         self.begin = np.cumsum(self.counts) - self.counts
         h1 = uni[_expand(row["tokens"], "<u4", n)]
-        first = np.zeros(n, bool)
-        first[self.begin] = True
+        self.first = np.zeros(n, bool)
+        self.first[self.begin] = True
+        self.has3 = ~self.first
         prev = np.concatenate([[_BOS], h1[:-1]])
-        prev[first] = _BOS
+        prev[self.first] = _BOS
         h2 = _mix(prev, h1)
-        before = np.concatenate([[np.uint64(0)], h2[:-1]])  # the bigram that ends at the previous token
-        h3 = _mix(before ^ np.uint64(0x8EBC6AF09C88C6E3), h1)
-        self.first = first
-        self.has3 = ~first
-        u1, self.i1 = np.unique(_key(h1, 1), return_inverse=True)
-        u2, self.i2 = np.unique(_key(h2, 2), return_inverse=True)
-        u3, i3 = np.unique(_key(h3[self.has3], 3), return_inverse=True)
-        self.i3 = np.zeros(n, np.int64)
-        self.i3[self.has3] = i3
+        del prev
+        u1, self.i1 = _distinct(_key(h1, 1))
+        u2, self.i2 = _distinct(_key(h2, 2))
+        h2[1:] = h2[:-1].copy()  # the bigram that ends at the previous token
+        h2[:1] = 0
+        h2 ^= np.uint64(0x8EBC6AF09C88C6E3)
+        u3, self.i3 = _distinct(_key(_mix(h2[self.has3], h1[self.has3]), 3))  # of tokens that have a bigram before them
+        del h1, h2
         self.sizes = (len(u1), len(u2), len(u3))
         merged = np.concatenate([u1, u2, u3])
-        self.order = np.argsort(merged, kind="stable")
+        del u1, u2, u3
+        self.order = np.argsort(merged, kind="stable").astype(np.uint32)
         self.keys = merged[self.order]
 
     def local(self, folds: tuple[int, ...]) -> np.ndarray:
         """Count of each key in documents of these folds, in key order."""
-        w = np.repeat(np.isin(self.folds, folds), self.counts).astype(np.float64)
+        use = np.repeat(np.isin(self.folds, folds), self.counts)
         a, b, c = self.sizes
-        got = np.concatenate([np.bincount(self.i1, w, a), np.bincount(self.i2, w, b), np.bincount(self.i3[self.has3], w[self.has3], c)])
+        got = np.concatenate([np.bincount(self.i1[use], minlength=a), np.bincount(self.i2[use], minlength=b),
+                              np.bincount(self.i3[use[self.has3]], minlength=c)])
         return got[self.order].astype(np.uint32)
 
     def per_token(self, counts: np.ndarray, docs: int) -> dict[str, np.ndarray]:
         """Counts of each token's n-grams and contexts from counts in key order; docs: documents counted."""
-        back = np.empty(len(counts), np.float64)
+        back = np.empty(len(counts), np.uint32)
         back[self.order] = counts
         a, b, _ = self.sizes
         c1, c2 = back[:a][self.i1], back[a : a + b][self.i2]
-        c3 = np.where(self.has3, back[a + b :][self.i3], 0) if len(back) > a + b else np.zeros(len(c1))
-        x2 = np.where(self.first, docs, np.concatenate([[0], c1[:-1]]))
-        x3 = np.where(self.first, 0, np.concatenate([[0], c2[:-1]]))
+        c3 = np.zeros(len(c1), np.uint32)
+        c3[self.has3] = back[a + b :][self.i3]
+        x2 = np.concatenate([np.zeros(1, np.int64), c1[:-1]])
+        x2[self.first] = docs
+        x3 = np.concatenate([np.zeros(1, np.uint32), c2[:-1]])
+        x3[self.first] = 0
         return {"c1": c1, "c2": c2, "c3": c3, "x2": x2, "x3": x3}
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and where each key is among them."""
+    found, at = np.unique(keys, return_inverse=True)
+    return found, at.astype(np.uint32)
+
+
+def _slices(t: dict[str, np.ndarray]) -> Iterator[tuple[slice, dict[str, np.ndarray]]]:
+    for a in range(0, len(t["c1"]), SLICE):
+        cut = slice(a, a + SLICE)
+        yield cut, {k: x[cut].astype(np.float64) for k, x in t.items()}
+
+
 def _estimates(t: dict[str, np.ndarray], total: float, types: float) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, estimates of order 0 to 3) per token."""
     p = np.zeros((4, len(t["c1"])))
@@ -197,45 +217,46 @@ def _allowed() -> np.ndarray:
 
 
 def exchange(prepared: DataFrame, buckets: int) -> DataFrame:
-    """(chunk, deleted, bucket, n, total, counted, types): global counts of each chunk's keys, bucket by bucket."""
+    """(chunk, deleted, bucket, n, total, counted, types): global counts of each chunk's keys, bucket by bucket.
+
+    A chunk is deleted as a whole or not at all, so its own counts serve for the total and, if it is not, for the counted fold.
+    """
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, row in batch.iterrows():
                 c = _Chunk(row)
-                total, counted = c.local((0, 1)), c.local((0,))
-                cut = np.searchsorted(c.keys, (np.arange(buckets + 1, dtype=np.float64) / buckets * 2.0 ** (KEY_BITS + 2)).astype(np.uint64))
-                cut[-1] = len(c.keys)
+                keys, total = c.keys, c.local((0, 1))
+                del c
+                cut = np.searchsorted(keys, (np.arange(buckets + 1, dtype=np.float64) / buckets * 2.0 ** (KEY_BITS + 2)).astype(np.uint64))
+                cut[-1] = len(keys)
                 out = []
                 for k in range(buckets):
                     a, b = int(cut[k]), int(cut[k + 1])
                     if a < b:
-                        out.append((k, row["chunk"], row["deleted"], b - a, _squeeze(np.diff(c.keys[a:b], prepend=np.uint64(0)).astype("<u8")),
-                                    _squeeze(total[a:b]), _squeeze(counted[a:b])))
-                yield pd.DataFrame(out, columns=["bucket", "chunk", "deleted", "n", "keys", "total", "counted"])
+                        out.append((k, row["chunk"], row["deleted"], b - a, _squeeze(np.diff(keys[a:b], prepend=np.uint64(0)).astype("<u8")), _squeeze(total[a:b])))
+                yield pd.DataFrame(out, columns=["bucket", "chunk", "deleted", "n", "keys", "total"])
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
         sizes = group["n"].tolist()
-        keys = np.concatenate([np.cumsum(_expand(k, "<u8", n)) for k, n in zip(group["keys"], sizes)])
-        uniq, back = np.unique(keys, return_inverse=True)
-        del keys
-        out = {}
-        for name in ("total", "counted"):
-            each = np.concatenate([_expand(x, "<u4", n) for x, n in zip(group[name], sizes)])
-            out[name] = np.bincount(back, each, len(uniq))
-        types = int(((uniq & np.uint64(3)) == 1)[out["total"] > 0].sum())
-        types_counted = int(((uniq & np.uint64(3)) == 1)[out["counted"] > 0].sum())
+        uniq, back = _distinct(np.concatenate([np.cumsum(_expand(k, "<u8", n)) for k, n in zip(group["keys"], sizes)]))
+        each = np.concatenate([_expand(x, "<u4", n) for x, n in zip(group["total"], sizes)])
+        total = np.bincount(back, each, len(uniq)).astype("<u4")
+        each[np.repeat(group["deleted"].to_numpy(bool), sizes)] = 0
+        counted = np.bincount(back, each, len(uniq)).astype("<u4")
+        del each
+        single = (uniq & np.uint64(3)) == 1
+        types, types_counted = int((single & (total > 0)).sum()), int((single & (counted > 0)).sum())
         ends = np.cumsum(sizes)
         rows = []
         for k, (end, n, chunk, deleted) in enumerate(zip(ends, sizes, group["chunk"], group["deleted"])):
             mine = back[end - n : end]
-            rows.append((chunk, deleted, group["bucket"].iloc[0], n, _squeeze(out["total"][mine].astype("<u4")),
-                         _squeeze(out["counted"][mine].astype("<u4")) if deleted else b"", 0 if k else types, 0 if k else types_counted))
+            rows.append((chunk, deleted, group["bucket"].iloc[0], n, _squeeze(total[mine]),
+                         _squeeze(counted[mine]) if deleted else b"", 0 if k else types, 0 if k else types_counted))
         return pd.DataFrame(rows, columns=["chunk", "deleted", "bucket", "n", "total", "counted", "types", "types_counted"])
 
-    rows = prepared.mapInPandas(
-        send, "bucket int, chunk long, deleted boolean, n long, keys binary, total binary, counted binary")
+    rows = prepared.mapInPandas(send, "bucket int, chunk long, deleted boolean, n long, keys binary, total binary")
     return rows.groupBy("bucket").applyInPandas(
         add, "chunk long, deleted boolean, bucket int, n long, total binary, counted binary, types long, types_counted long")
 
@@ -255,8 +276,11 @@ def learn_weights(prepared: DataFrame, answers: DataFrame, total: int, docs: int
         if left.empty or right.empty:
             return pd.DataFrame({"n": [], "b": [], "p": []})
         chunk, counts = read(left.iloc[0], right)
-        b, p = _estimates(chunk.per_token(counts, docs), total, types)
-        return pd.DataFrame({"n": [len(b)], "b": [_squeeze(b.astype("u1"))], "p": [zstandard.ZstdCompressor(level=1).compress(p[1:].astype("<f4").tobytes())]})
+        rows = []
+        for _, part in _slices(chunk.per_token(counts, docs)):
+            b, p = _estimates(part, total, types)
+            rows.append((len(b), _squeeze(b.astype("u1")), zstandard.ZstdCompressor(level=1).compress(p[1:].astype("<f4").tobytes())))
+        return pd.DataFrame(rows, columns=["n", "b", "p"])
 
     held = stage(prepared.where("deleted").groupBy("chunk").cogroup(answers.where("deleted").groupBy("chunk")).applyInPandas(
         gather, "n long, b binary, p binary"), "lm-heldout")
@@ -306,9 +330,11 @@ def score_corpus(docs: DataFrame) -> DataFrame:
         row = left.iloc[0]
         chunk, counts = read(row, right)
         tokens = chunk.per_token(counts, train_docs)
-        bucket, p = _estimates(tokens, train_tokens, types)
-        mixed = np.log10((p * weights[bucket].T).sum(axis=0))
-        base = np.log10((tokens["c1"] + 1) / (train_tokens + types + 1))
+        mixed, base = np.empty(len(tokens["c1"])), np.empty(len(tokens["c1"]))
+        for cut, part in _slices(tokens):
+            bucket, p = _estimates(part, train_tokens, types)
+            mixed[cut] = np.log10((p * weights[bucket].T).sum(axis=0))
+            base[cut] = np.log10((part["c1"] + 1) / (train_tokens + types + 1))
         add = lambda x: np.add.reduceat(x, chunk.begin)
         ids = np.frombuffer(row["ids"], "<i8").astype(object)
         ids[np.frombuffer(row["nulls"], "u1") == 1] = None
