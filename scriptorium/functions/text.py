@@ -106,6 +106,19 @@ def volume_id(number_: Column, part: Column) -> Column:
     return F.format_string("%03d%s", number_, part)
 
 
+def volume_key(v: Column) -> Column:
+    """A volume as records carry it: struct(volume_number, volume_part, volume_id, volume_raw)."""
+    return F.when(v.isNotNull(), F.struct(v["number"].alias("volume_number"), v["part"].alias("volume_part"),
+                                          volume_id(v["number"], v["part"]).alias("volume_id"), v["raw"].alias("volume_raw")))
+
+
+def volume_from_key(number_: Column, part: Column, raw: Column) -> Column:
+    """The inverse of volume_key; null without a number or with an unknown part."""
+    known = F.coalesce(part, F.lit(""))
+    return F.when(number_.isNotNull() & known.isin("", "a", "b", "c"), F.struct(
+        number_.cast("int").alias("number"), known.alias("part"), F.coalesce(raw, F.lit("")).alias("raw")))
+
+
 def export_volume(c: Column) -> Column:
     """Volume as it names folders: "00" for none, digits with a part as they are, else the first digits, else parts spelled a b c."""
     digits = F.regexp_extract(c, "[0-9]+", 0)
@@ -167,7 +180,10 @@ def priority(source: Column) -> Column:
 
 
 def submission_label(label: Column, mapping: rules.LabelMapping) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.to_submission.items() for x in kv]), label)
+    """The delivered label; one that the mapping lacks ends the job."""
+    found = F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.to_submission.items() for x in kv]), label)
+    miss = F.raise_error(F.concat(F.lit("no delivered label for "), F.coalesce(label, F.lit("null"))))
+    return F.when(found.isNotNull(), found).otherwise(miss.cast("string"))
 
 
 def sentence_features(text: Column) -> dict[str, Column]:

@@ -7,6 +7,11 @@ from collections.abc import Iterator
 from typing import Protocol
 
 import pyarrow as pa
+
+try:
+    import ahocorasick
+except ModuleNotFoundError:  # dictionaries then always join
+    ahocorasick = None
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,11 +102,60 @@ def _batch(sids: pa.Array, rows: list[int], found: list[tuple]) -> pa.RecordBatc
 def dictionary_matches(sentences: DataFrame, terms: DataFrame, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """All occurrences of terms(term, ...) in sentences, overlaps included; repeated terms match repeatedly.
 
-    Texts are cut into blocks of characters, blocks into substrings of the lengths that terms have, and these are joined by
-    equality: linear in the text, and no row holds more than a block. Instead of the text a match carries `near`, the match
-    with BEFORE characters before it and one after it, and `pos`, its place there.
+    Instead of the text a match carries `near`, the match with BEFORE characters before it and one after it, and `pos`, its
+    place there. A dictionary of at most broadcast_terms distinct terms goes to every worker as an automaton that reads a text
+    once; a larger one meets the texts' substrings in a shuffle join (see _by_join).
     """
     own = terms.where("term <> ''")
+    words = own.select("term").distinct()
+    few = words.limit(broadcast_terms + 1).toArrow()["term"].to_pylist()  # bounded
+    if ahocorasick is None or len(few) > broadcast_terms:
+        return _by_join(sentences, own, broadcast_terms)
+    hits = _by_automaton(sentences, sorted(few))
+    return hits.join(F.broadcast(own), F.col("match") == F.col("term")).drop("term")
+
+
+def _by_automaton(sentences: DataFrame, words: list[str]) -> DataFrame:
+    keep = [c for c in sentences.columns if c != "text"]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in sentences.select(*keep).schema] + ["start int", "end int", "pos int", "near string", "match string"])
+    held = sentences.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = ahocorasick.Automaton()
+        for w in held.value:
+            machine.add_word(w, len(w))
+        machine.make_automaton()
+
+        def flush(batch: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
+            at = pa.array(rows, pa.int32())
+            start, end, pos, near, match = zip(*found, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [batch.column(k).take(at) for k in range(len(keep))] + [pa.array(x, pa.int32()) for x in (start, end, pos)]
+                + [pa.array(near, pa.string()), pa.array(match, pa.string())], names=[*keep, "start", "end", "pos", "near", "match"])
+
+        for batch in batches:
+            rows, found = [], []
+            for k, text in enumerate(batch.column(len(keep)).to_pylist()):
+                if not text or not held.value:
+                    continue
+                for last, n in machine.iter(text):
+                    b = last + 1
+                    a = b - n
+                    lead = min(a, BEFORE)
+                    rows.append(k)
+                    found.append((a, b, lead, text[a - lead : b + 1], text[a:b]))
+                    if len(rows) >= BATCH_ROWS:
+                        yield flush(batch, rows, found)
+                        rows, found = [], []
+            if rows:
+                yield flush(batch, rows, found)
+
+    return sentences.select(*keep, "text").mapInArrow(run, schema)
+
+
+def _by_join(sentences: DataFrame, own: DataFrame, broadcast_terms: int) -> DataFrame:
+    """Texts are cut into blocks of characters, blocks into substrings of the lengths that terms have, and these are joined by
+    equality: linear in the text, and no row holds more than a block."""
     sizes = sorted(r[0] for r in own.select(F.length("term")).distinct().collect())  # lengths, not terms
     side = F.broadcast(own) if own.count() <= broadcast_terms else own
     keep = [c for c in sentences.columns if c != "text"]

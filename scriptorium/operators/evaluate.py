@@ -54,3 +54,26 @@ def label_accuracy(gold: DataFrame, pred: DataFrame) -> DataFrame:
 def regressed(before_f1: float, now_f1: float) -> bool:
     """The gate: a strict F1 below the baseline fails."""
     return now_f1 < before_f1
+
+
+def entities_of(rows: DataFrame) -> DataFrame:
+    """(sentence_id, start, end, label) of rows in any of three shapes: records with sentences and entities, sentences with entities, entities."""
+    if "entities" not in rows.columns:
+        return rows.select(*SPAN, "label")
+    each = rows.withColumn("__e", F.explode("entities"))
+    if "sentences" in rows.columns:
+        return each.select("__e.sentence_id", "__e.start", "__e.end", "__e.label")
+    return each.select(sentence_key(rows).alias("sentence_id"), "__e.start", "__e.end", "__e.label")
+
+
+def sentence_key(rows: DataFrame) -> Column:
+    """sentence_id, or sid where it is missing or empty."""
+    return F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("sentence_id", "sid") if c in rows.columns], F.lit(None).cast("string"))
+
+
+def pilot_ids(rows: DataFrame, missing: str = "raise") -> DataFrame:
+    """(sentence_id), distinct; rows without one are an error or, with missing="ignore", left out."""
+    ids = rows.select(sentence_key(rows).alias("sentence_id"))
+    if missing == "raise" and ids.where("sentence_id IS NULL").limit(1).count():
+        raise ValueError("a pilot row has no sentence id")
+    return ids.where("sentence_id IS NOT NULL").distinct()

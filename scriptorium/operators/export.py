@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import text as T
+from . import validate as V
 
 
 def numbered(sentences: DataFrame, order: list[str]) -> DataFrame:
@@ -50,6 +51,25 @@ def export_rows(annotated: DataFrame, order: list[str], mode: str = "draft", map
     return rows.select("work_id", "volume", "sentence_id", "number", "text", delivered_entities(mapping, provenance).alias("entities"))
 
 
+def with_work_ids(records: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Adds work_id by title; a title without one is an error."""
+    known = F.broadcast(dimension.select("title", "work_id"))  # one row per work, listed in rules
+    out = records.join(known, "title", "left")
+    lost = out.where("work_id IS NULL").select("title").distinct().limit(5).collect()
+    if lost:
+        raise ValueError("no work id for " + ", ".join(repr(r["title"]) for r in lost))
+    return out
+
+
+def final_rows(annotated: DataFrame, order: list[str], records: DataFrame, sentences: DataFrame, entities: DataFrame,
+               mapping: rules.LabelMapping, pilot: DataFrame | None = None) -> DataFrame:
+    """Rows of a final delivery behind its gates: strict rules of the corpus before, rules of delivered entities after."""
+    V.raise_on(V.strict_issues(records, sentences, entities, "final" if pilot is None else "pilot", pilot, mapping), "the corpus fails validation")
+    rows = export_rows(annotated, order, "final", mapping)
+    V.raise_on(V.invariant_issues(rows), "delivered entities break their rules")
+    return rows
+
+
 def manifest_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("work_id").agg(F.count_distinct("volume").alias("volumes"), F.count("*").alias("sentences"), F.sum(F.size("entities")).alias("entities"))
 
@@ -128,9 +148,24 @@ def marked(text: str, entities: list[dict]) -> str:
     return "".join([*out, html.escape(text[at:])])
 
 
+def conflict_panel(conflicts: list[dict]) -> str:
+    """Conflicts of a sentence as HTML: kind, and label, span and source of each side."""
+    if not conflicts:
+        return ""
+    side = lambda c: html.escape(f"{c['label']} [{c['start']}, {c['end']}) {c.get('source') or '|'.join(c.get('sources') or [])}")
+    rows = "".join(f"<li><b>{html.escape(c['kind'])}</b> " + " / ".join(side(x) for x in c["candidates"]) + "</li>" for c in conflicts)
+    return f"<ul>{rows}</ul>"
+
+
+def label_panel(present: set[str]) -> str:
+    """Internal labels, in their order, marked as present or absent."""
+    return "<p>" + " ".join(f'<span class="{"on" if x in present else "off"}">{x}</span>' for x in rules.INTERNAL_LABELS) + "</p>"
+
+
 def page(cards: list[dict]) -> str:
-    body = "".join(f"<article><h2>{html.escape(c['title'])} · {html.escape(c['sid'])}</h2><p>{marked(c['text'], c['entities'])}</p></article>" for c in cards)
-    return f'<!doctype html><meta charset="utf-8"><title>Samples</title>{body}'
+    body = "".join(f"<article><h2>{html.escape(c['title'])} · {html.escape(c['sid'])}</h2><p>{marked(c['text'], c['entities'])}</p>{conflict_panel(c.get('conflicts') or [])}</article>" for c in cards)
+    panel = label_panel({e["label"] for c in cards for e in c["entities"]})
+    return f'<!doctype html><meta charset="utf-8"><title>Samples</title>{panel}{body}'
 
 
 def snapshot(records: DataFrame, n: int = 100) -> tuple[list[str], str]:

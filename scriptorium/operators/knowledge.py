@@ -41,35 +41,42 @@ def sqlite_frame(spark: SparkSession, path: str, table: str, schema: str) -> Dat
 
 
 def clean_persons(persons: DataFrame, low: int = 2, high: int = 6) -> DataFrame:
-    """persons(person_id, name, surname, dynasty, birth, death) with usable names."""
-    return persons.withColumn("primary_name", T.person_name(F.col("name"), low, high)).where("primary_name IS NOT NULL").drop("name")
+    """persons(person_id, name, surname, dynasty, birth, death) with usable names, in normal form C."""
+    return persons.withColumn("primary_name", T.person_name(T.nfc(F.col("name")), low, high)).where("primary_name IS NOT NULL").drop("name")
 
 
 def era_surfaces(eras: DataFrame, low: int = 2, high: int = 6) -> DataFrame:
     """Era names and dynasty plus era, as surfaces that are no persons. eras(dynasty, era)."""
-    both = eras.select(T.person_name(F.col("era"), low, high).alias("name")).union(
-        eras.select(T.person_name(F.concat("dynasty", "era"), low, high).alias("name")))
+    both = eras.select(T.person_name(T.nfc(F.col("era")), low, high).alias("name")).union(
+        eras.select(T.person_name(T.nfc(F.concat("dynasty", "era")), low, high).alias("name")))
     return both.where("name IS NOT NULL").distinct()
 
 
-def build_names(persons: DataFrame, aliases: DataFrame, eras: DataFrame, low: int = 2, high: int = 6) -> tuple[DataFrame, DataFrame]:
-    """(names(name, person_id, kind), counts) from persons, aliases(person_id, alias, type) and eras."""
-    kept = clean_persons(persons, low, high)
-    blocked = era_surfaces(eras, low, high)
+def build_names(persons: DataFrame, aliases: DataFrame | None, eras: DataFrame, low: int = 2, high: int = 6) -> tuple[DataFrame, DataFrame]:
+    """(names(name, person_id, kind), counts) from persons, aliases(person_id, alias[, type]) and eras.
+
+    A person whose name is an era's is no person: it is counted as blocked, and its aliases do not count. Aliases without a
+    type column are all allowed; without a table there are none.
+    """
+    usable = clean_persons(persons, low, high)
+    blocked = era_surfaces(eras, low, high).withColumn("blocked", F.lit(True))
+    marked = usable.join(blocked.withColumnRenamed("name", "primary_name"), "primary_name", "left")
+    kept = marked.where("blocked IS NULL").drop("blocked")
     primary = kept.select(F.col("primary_name").alias("name"), "person_id", F.lit("primary").alias("kind"))
-    allowed = aliases.where(F.col("type").isin(*rules.PERSONAL_ALIAS_TYPES))
-    usable = allowed.join(kept.select("person_id"), "person_id", "left_semi").select(
-        T.person_name(F.col("alias"), low, high).alias("name"), "person_id", F.lit("alias").alias("kind")).where("name IS NOT NULL")
-    every = primary.unionByName(usable)
-    names = every.join(blocked, "name", "left_anti").dropDuplicates(["name", "person_id", "kind"])
-    free = lambda df: df.join(blocked, "name", "left_anti")
-    one = lambda df, what, name: df.agg(what.alias(name))
-    counts = one(persons, F.count("*"), "person_total")
+    if aliases is None:
+        aliases = persons.sparkSession.createDataFrame([], f"person_id {persons.schema['person_id'].dataType.simpleString()}, alias string")
+    allowed = aliases.where(F.col("type").isin(*rules.PERSONAL_ALIAS_TYPES)) if "type" in aliases.columns else aliases
+    named = allowed.join(kept.select("person_id").distinct(), "person_id", "left_semi").select(
+        T.person_name(T.nfc(F.col("alias")), low, high).alias("name"), "person_id", F.lit("alias").alias("kind")).where("name IS NOT NULL").join(blocked, "name", "left")
+    also = named.where("blocked IS NULL").drop("blocked").distinct()
+    names = primary.unionByName(also).distinct()
+    counts = None
     for df, what, name in (
-            (kept, F.count("*"), "person_kept"), (free(primary), F.count("*"), "primary_names"), (aliases, F.count("*"), "alias_total"),
-            (allowed, F.count("*"), "alias_allowed_type"), (free(usable).distinct(), F.count("*"), "alias_names"),
-            (names, F.count_distinct("name"), "unique_names"), (every.join(blocked, "name", "left_semi"), F.count("*"), "blocked_nonperson")):
-        counts = counts.crossJoin(one(df, what, name))  # one row each
+            (persons, "count(*)", "person_total"), (kept, "count(*)", "person_kept"), (kept, "count(*)", "primary_names"), (aliases, "count(*)", "alias_total"),
+            (allowed, "count(*)", "alias_allowed_type"), (also, "count(*)", "alias_names"), (names, "count(distinct name)", "unique_names"),
+            (marked.where("blocked").select("blocked").unionByName(named.where("blocked").select("blocked")), "count(*)", "blocked_nonperson")):
+        one = df.agg(F.expr(what).alias(name))
+        counts = one if counts is None else counts.crossJoin(one)  # one row each
     return names, counts
 
 
@@ -94,6 +101,30 @@ def read_places(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"unknown place header: {raw.columns}")
 
 
+def write_table(df: DataFrame, path: str, name: str, version: str, licence: str, source_url: str | None = None) -> dict:
+    """A knowledge table as Parquet, with a manifest of its files' digests beside it. Digests are taken by the executors."""
+    df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    body = {"name": name, "version": version, "source_url": source_url, "license": licence, "files": table_digests(spark, path),
+            "row_counts": {name: spark.read.parquet(path).count()}}
+    spark.createDataFrame([(json.dumps(body, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path + ".manifest")
+    return body
+
+
+def table_digests(spark: SparkSession, path: str) -> dict[str, str]:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    got = files.select(F.element_at(F.split("path", "/"), -1).alias("f"), F.sha2("content", 256).alias("h")).collect()  # one row per file
+    return {r["f"]: r["h"] for r in sorted(got)}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table that write_table wrote; one that differs from its manifest is an error."""
+    body = json.loads(spark.read.text(path + ".manifest").first()[0])
+    if body["files"] != table_digests(spark, path):
+        raise ValueError(f"{path} differs from its manifest")
+    return spark.read.parquet(path)
+
+
 def file_digest(path: str) -> tuple[str, int]:
     h, size = hashlib.sha256(), 0
     with open(path, "rb") as f:

@@ -56,6 +56,15 @@ def pilot(rows: DataFrame, n: int, seed: int = 42, fraction: float = 0.15, per_s
     return double_annotated(chosen, fraction, seed, key), challenge_sample(rest, seed, per_stratum, key)
 
 
+def pilot_manifest(chosen: DataFrame, challenge: DataFrame, n: int, seed: int = 42, fraction: float = 0.15, key: str = "sid") -> dict:
+    """What a pilot was drawn with, and rows per work. Samples that share a row are an error."""
+    if chosen.join(challenge, key, "left_semi").limit(1).count():
+        raise ValueError("the pilot and the challenge sample share rows")
+    quota = {r["title"]: r["n"] for r in chosen.groupBy("title").agg(F.count("*").alias("n")).collect()}  # one row per work
+    return {"seed": seed, "pilot_size": n, "double_annotate_fraction": fraction, "work_quota": dict(sorted(quota.items())),
+            "evaluation_random_path": "evaluation_random", "diagnostic_challenge_path": "diagnostic_challenge"}
+
+
 def cards(rows: DataFrame, per_group: int = 5, key: str = "sid") -> DataFrame:
     """The best rows per title by conflict, labels, entities, readable length; what a page of samples is chosen from."""
     score = [F.desc(F.col("n_conflicts") > 0), F.desc("n_labels"), F.desc("n_entities"), F.desc(F.length("text").between(12, 120)), F.desc(key)]

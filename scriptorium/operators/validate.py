@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -52,9 +53,9 @@ def strict_issues(records: DataFrame, sentences: DataFrame, entities: DataFrame,
                   mapping: rules.LabelMapping | None = None) -> DataFrame:
     """Review-grade rules -> id, item, code. scope: full, pilot (sentences of pilot(sentence_id)) or final.
 
-    Record-level rules run in scope full only, and in pilot scope for records that hold a pilot sentence;
-    final scope skips them, as deliveries filter those records themselves. Overlaps are looked for between
-    neighbours in order of start, end and label.
+    Record-level rules run in scope full, and in pilot scope for records that hold a sentence of the pilot; without a pilot's
+    ids, pilot scope looks at all sentences and at no record. A cleaning status other than kept or checked, or none, needs
+    review. Overlaps are looked for between neighbours of one sentence, in order of start, end, label and sentence, invalid spans left out.
     """
     if scope not in ("full", "pilot", "final"):
         raise ValueError("scope is full, pilot or final")
@@ -70,8 +71,9 @@ def strict_issues(records: DataFrame, sentences: DataFrame, entities: DataFrame,
     else:
         sentences_in = sentences
     parts.append(_emit(sentences_in, [("unchecked_sentence", ~F.coalesce(F.col("review_status") == "checked", F.lit(False)))], "id", F.col("sid").alias("item")))
-    if scope != "final":
-        parts.append(_emit(inside, [("cleaning_needs_review", F.col("cleaning_status") == "needs_review"), ("unresolved_conflicts", F.col("n_conflicts") > 0)],
+    if scope == "full" or scope == "pilot" and pilot is not None:
+        clean = F.coalesce(F.col("cleaning_status").isin("kept", "checked"), F.lit(False))
+        parts.append(_emit(inside, [("cleaning_needs_review", ~clean), ("unresolved_conflicts", F.col("n_conflicts") > 0)],
                            "id", F.lit(None).cast("string").alias("item")))
     base = records.select("id", F.col("text").alias("__t"))
     home = sentences.select(F.col("id").alias("__i"), F.col("sid").alias("__s"), F.col("start").alias("__a"), F.col("end").alias("__b"))
@@ -80,15 +82,15 @@ def strict_issues(records: DataFrame, sentences: DataFrame, entities: DataFrame,
     e = e.withColumn("__ok", ok)
     cut = F.col("__t").substr(F.col("start") + 1, F.col("end") - F.col("start"))
     inside_s = F.coalesce((F.col("start") >= F.col("__a")) & (F.col("end") <= F.col("__b")), F.lit(False))
-    order = Window.partitionBy("id").orderBy("start", "end", "label", "sentence_id")
-    e = e.withColumn("__prev", F.lag(F.when(F.col("__ok"), F.col("end"))).over(order))
     good = F.col("__ok")
     parts.append(_emit(e, [
         ("invalid_entity_span", ~good), ("entity_text_mismatch", good & ~cut.eqNullSafe(F.col("text"))), ("entity_orphan_sentence", good & F.col("__s").isNull()),
         ("entity_outside_sentence", good & F.col("__s").isNotNull() & ~inside_s), ("invalid_internal_label", good & ~F.col("label").isin(*rules.INTERNAL_LABELS)),
         ("unchecked_entity", good & ~F.coalesce(F.col("review_status") == "checked", F.lit(False))),
-        ("missing_provenance", good & (F.coalesce(F.size("sources"), F.lit(0)) == 0)), ("entity_overlap", good & (F.col("__prev") > F.col("start")))],
-        "id", F.col("eid").alias("item")))
+        ("missing_provenance", good & (F.coalesce(F.size("sources"), F.lit(0)) <= 0))], "id", F.col("eid").alias("item")))
+    order = Window.partitionBy("id").orderBy("start", "end", "label", "sentence_id", "eid")  # a record's entities
+    near = e.where("__ok").select("id", "eid", "start", "sentence_id", F.lag("end").over(order).alias("__e"), F.lag("sentence_id").over(order).alias("__p"))
+    parts.append(_emit(near, [("entity_overlap", F.col("__p").eqNullSafe(F.col("sentence_id")) & (F.col("__e") > F.col("start")))], "id", F.col("eid").alias("item")))
     return _issues(parts)
 
 
@@ -120,6 +122,52 @@ def compliance_issues(seg: DataFrame, ner: DataFrame, declared: int | None = Non
     return _issues(parts)
 
 
+def manifest_issues(spark: SparkSession, manifest: str | None, expected: int | None = None, corpus_sha256: str | None = None,
+                    report_sha256: str | None = None) -> DataFrame:
+    """Rules of a delivery's manifest (its text, null if there is none) -> volume, item, code."""
+    codes = []
+    try:
+        body = json.loads(manifest) if manifest is not None else None
+    except ValueError:
+        body, codes = None, ["invalid_manifest_json"]
+    if manifest is None:
+        codes = ["missing_manifest"]
+    elif body is not None:
+        count = body.get("sentences", body.get("n_sentences"))
+        codes = [code for code, bad in (
+            ("sentence_count_mismatch", expected is not None and count != expected),
+            ("source_corpus_hash_mismatch", bool(corpus_sha256) and body.get("source_corpus_sha256") != corpus_sha256),
+            ("source_report_hash_mismatch", bool(report_sha256) and body.get("source_validation_report_sha256") != report_sha256)) if bad]
+    return spark.createDataFrame([(None, None, c) for c in codes], "volume string, item string, code string")
+
+
+def unreadable_volumes(raw: DataFrame) -> DataFrame:
+    """raw(volume, value): entity files that are no JSON list -> volume, item, code."""
+    parsed = F.try_parse_json("value")
+    bad = parsed.isNull() | ~F.coalesce(F.schema_of_variant(parsed).startswith("ARRAY"), F.lit(False))
+    return raw.where(bad).select("volume", F.lit(None).cast("string").alias("item"), F.lit("invalid_ner_json").alias("code"))
+
+
+def invariant_issues(rows: DataFrame) -> DataFrame:
+    """Rules of delivered rows(sentence_id, entities(label, start, end)) -> item, code: label, span, and each overlapping pair of valid spans."""
+    valid = lambda e: F.coalesce((e["start"] >= 0) & (e["end"] > e["start"]), F.lit(False))
+    known = lambda e: F.coalesce(e["label"].isin(*rules.SUBMISSION_LABELS), F.lit(False))
+    spans = F.filter("entities", valid)
+    pairs = F.flatten(F.transform(spans, lambda x, i: F.filter(F.slice(spans, i + 2, F.greatest(F.size(spans), F.lit(1))), lambda y: T.overlaps(x, y))))
+    times = lambda code, n: F.array_repeat(F.lit(code), n)
+    codes = F.concat(times("invalid_label", F.size(F.filter("entities", lambda e: ~known(e)))),
+                     times("invalid_entity_span", F.size(F.filter("entities", lambda e: ~valid(e)))), times("entity_overlap", F.size(pairs)))
+    return rows.select(F.col("sentence_id").alias("item"), F.explode(codes).alias("code"))
+
+
+def raise_on(issues: DataFrame, what: str, top: int = 5) -> None:
+    """An error that counts the issues and names the most frequent codes, if there is any."""
+    found = report(issues).limit(top).collect()
+    if found:
+        total = issues.count()
+        raise ValueError(f"{what}: {total} issues, most frequent: " + ", ".join(f"{r['code']} {r['issues']}" for r in found))
+
+
 def report(issues: DataFrame) -> DataFrame:
     """Issues per code, most frequent first."""
     return issues.groupBy("code").agg(F.count("*").alias("issues")).orderBy(F.desc("issues"), "code")

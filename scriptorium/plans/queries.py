@@ -17,7 +17,8 @@ from ..operators import review as R
 from ..operators import sample as S
 from ..operators import segment as G
 from ..operators import validate as V
-from ..session import ship
+from ..session import scratch, ship
+from ..sources import corpus as S_
 from . import tables as B
 
 QUERIES: dict = {}
@@ -72,45 +73,59 @@ def line_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 _VOLUMES = ("卷099下", "卷上", "卷015", "卷15", "卷十六", "卷二十一", "卷一百二十", "卷一二", "卷015b", "高帝紀", "卷", "卷 ３", "")
-_VALUE = {"卷十六": 16, "卷二十一": 21, "卷一百二十": 120, "卷一二": 2}
+_HAN_DIGITS = "〇一二三四五六七八九"
+_VALUES = ", ".join(f"'{k}': {v}" for k, v in rules.NUMERALS.items())
 
 
 @query(f"""
-WITH raw AS (SELECT unnest([{', '.join("'" + v + "'" for v in _VOLUMES)}]) AS heading UNION ALL SELECT '卷' || doc_id FROM documents),
+WITH raw AS (SELECT unnest([{', '.join("'" + v + "'" for v in _VOLUMES)}]) AS heading UNION ALL SELECT '卷' || doc_id FROM documents
+  UNION ALL SELECT '卷' || translate(doc_id // 100 % 10 || '百' || doc_id // 10 % 10 || '十' || doc_id % 10, '0123456789', '{_HAN_DIGITS}') || CASE WHEN doc_id % 4 = 0 THEN '下' ELSE '' END FROM documents),
 m AS (SELECT heading, regexp_extract(heading, '^卷\\s*([0-9０-９]+|[零〇一二三四五六七八九十百千万兩]+)?([上中下abc])?$', 1) AS n,
   regexp_extract(heading, '^卷\\s*([0-9０-９]+|[零〇一二三四五六七八九十百千万兩]+)?([上中下abc])?$', 2) AS p,
   regexp_matches(heading, '^卷\\s*([0-9０-９]+|[零〇一二三四五六七八九十百千万兩]+)?([上中下abc])?$') AS ok FROM raw),
-v AS (SELECT heading, CASE WHEN NOT ok OR (n = '' AND p = '') THEN NULL WHEN n = '' THEN 0 {' '.join(f"WHEN heading = '{k}' THEN {x}" for k, x in _VALUE.items())}
-  ELSE TRY_CAST(translate(n, '０１２３４５６７８９', '0123456789') AS BIGINT) END AS number, translate(p, '上中下', 'abc') AS part FROM m)
+f AS (SELECT *, list_reduce(list_prepend({{'t': 0, 'd': 0}}, list_transform(string_split(n, ''), lambda c: {{'t': coalesce(map {{{_VALUES}}}[c], 0), 'd': CASE WHEN c IN ('十', '百', '千', '万') THEN 1 ELSE 0 END}})),
+  lambda a, x: {{'t': CASE WHEN x.d = 1 THEN a.t + greatest(a.d, 1) * x.t ELSE a.t END, 'd': CASE WHEN x.d = 1 THEN 0 ELSE x.t END}}) AS h FROM m),
+v AS (SELECT heading, CASE WHEN NOT ok OR (n = '' AND p = '') THEN NULL WHEN n = '' THEN 0 WHEN regexp_matches(n, '^[0-9０-９]+$') THEN TRY_CAST(translate(n, '０１２３４５６７８９', '0123456789') AS BIGINT)
+  ELSE CAST(h.t + h.d AS BIGINT) END AS number, translate(p, '上中下', 'abc') AS part FROM f)
 SELECT heading, number, CASE WHEN number IS NULL THEN NULL ELSE part END AS part,
   CASE WHEN number IS NULL THEN NULL ELSE CASE WHEN number < 100 THEN lpad(CAST(number AS VARCHAR), 3, '0') ELSE CAST(number AS VARCHAR) END || part END AS volume_id FROM v""")
 def volume_parse(spark: SparkSession, d: str) -> DataFrame:
     cases = spark.createDataFrame([(v,) for v in _VOLUMES], "heading string")
-    docs = B.documents(spark, d).select(F.concat(F.lit("卷"), F.col("doc_id").cast("string")).alias("heading"))
-    v = cases.union(docs).withColumn("v", T.volume(F.col("heading")))
-    return v.select("heading", F.col("v.number").cast("long").alias("number"), F.col("v.part").alias("part"),
-                    F.when(F.col("v").isNotNull(), T.volume_id(F.col("v.number"), F.col("v.part"))).alias("volume_id"))
+    k = F.col("doc_id")
+    digit = lambda n: F.floor(k / n).cast("long") % 10
+    han = F.translate(F.concat(digit(100).cast("string"), F.lit("百"), digit(10).cast("string"), F.lit("十"), digit(1).cast("string")), "0123456789", _HAN_DIGITS)
+    docs = B.documents(spark, d)
+    both = docs.select(F.concat(F.lit("卷"), k.cast("string")).alias("heading")).union(
+        docs.select(F.concat(F.lit("卷"), han, F.when(k % 4 == 0, "下").otherwise(""))))
+    v = cases.union(both).withColumn("v", T.volume(F.col("heading")))
+    key = T.volume_key(F.col("v"))
+    back = T.volume_from_key(F.col("k.volume_number"), F.col("k.volume_part"), F.col("k.volume_raw"))  # and there again
+    return v.withColumn("k", key).withColumn("b", back).select("heading", F.col("b.number").cast("long").alias("number"), F.col("b.part").alias("part"), F.col("k.volume_id").alias("volume_id"))
 
 
 def _structured(spark: SparkSession, d: str) -> DataFrame:
-    """Titles repeat before the text of a file: its first document's first line stands for the work title."""
-    lines = B.raw_lines(spark, d)
+    """Some lines are section headings, some blank. Titles repeat before the text of a file: its first document's first line stands for the work title."""
+    pos = F.col("line_no") % 1_000_000
+    line = F.when((pos > 0) & (pos % 9 == 4), F.concat(F.lit("## 節"), pos.cast("string"))).when((pos > 0) & (pos % 11 == 7), F.lit(" ")).otherwise(F.col("line"))
+    lines = B.raw_lines(spark, d).withColumn("line", line)
     first = lines.groupBy("file").agg(F.min_by("line", "line_no").alias("h"), F.min(F.when(~F.col("line").startswith("#"), F.struct("line_no", "line"))).alias("f"))
     return I.structure(lines.join(first.select("file", F.col("f.line").alias("title")), "file"))
 
 
 _STRUCT = f"""{B.RAW_LINES},
-titled AS (SELECT file, line_no, line, first_value(CASE WHEN NOT starts_with(line, '#') THEN trim(line) END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS title FROM raw_lines),
-st AS (SELECT *, CASE WHEN starts_with(line, '# 卷') THEN 'volume' ELSE 'line' END AS kind,
+sectioned AS (SELECT file, line_no, CASE WHEN p > 0 AND p % 9 = 4 THEN '## 節' || p WHEN p > 0 AND p % 11 = 7 THEN ' ' ELSE line END AS line FROM (SELECT *, line_no % 1000000 AS p FROM raw_lines)),
+titled AS (SELECT file, line_no, line, first_value(CASE WHEN NOT starts_with(line, '#') THEN trim(line) END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS title FROM sectioned),
+st AS (SELECT *, CASE WHEN starts_with(line, '# 卷') THEN 'volume' WHEN starts_with(line, '## 節') THEN 'section' ELSE 'line' END AS kind,
   trim(line) = '' AS blank, trim(line) = title AS is_title FROM titled),
 w AS (SELECT *, last_value(CASE WHEN kind = 'volume' THEN CAST(substr(line, 4) AS BIGINT) END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS volume,
+  nullif(last_value(CASE kind WHEN 'volume' THEN '' WHEN 'section' THEN substr(line, 4) END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS UNBOUNDED PRECEDING), '') AS section,
   min(CASE WHEN kind = 'line' AND NOT blank AND NOT is_title THEN line_no END) OVER (PARTITION BY file) AS first_kept FROM st),
 x AS (SELECT *, CASE WHEN kind <> 'line' THEN 'heading' WHEN blank THEN 'blank' WHEN is_title AND (first_kept IS NULL OR line_no < first_kept) THEN 'work_title' END AS removed FROM w)"""
 
 
 @query(f"""WITH {_STRUCT}
 SELECT file || '-' || CASE WHEN n < 100000 THEN lpad(CAST(n AS VARCHAR), 6, '0') ELSE CAST(n AS VARCHAR) END AS id, line_no, volume AS volume_number, section FROM (
-  SELECT file, line_no, volume, CAST(NULL AS VARCHAR) AS section, row_number() OVER (PARTITION BY file ORDER BY line_no) AS n FROM x WHERE removed IS NULL)""")
+  SELECT file, line_no, volume, section, row_number() OVER (PARTITION BY file ORDER BY line_no) AS n FROM x WHERE removed IS NULL)""")
 def carry_forward(spark: SparkSession, d: str) -> DataFrame:
     return I.records(_structured(spark, d)).select("id", "line_no", F.col("volume_number").cast("long").alias("volume_number"), "section")
 
@@ -139,12 +154,13 @@ def heading_events(spark: SparkSession, d: str) -> DataFrame:
     return I.repeated_headings(I.structure(lines)).select("file", F.col("number").cast("long").alias("number"), "events")
 
 
-@query("""WITH v AS (SELECT doc_id % 1200 AS number, CASE WHEN doc_id % 3 = 0 THEN 'a' ELSE '' END AS part FROM documents),
+@query("""WITH v AS (SELECT doc_id * 2 AS number, CASE WHEN doc_id < 250 THEN '0' ELSE '' END AS part FROM documents),
 p AS (SELECT DISTINCT CASE WHEN number < 100 THEN lpad(CAST(number AS VARCHAR), 3, '0') ELSE CAST(number AS VARCHAR) END || part AS path, number, part FROM v)
 SELECT path, count(*) AS volumes FROM p GROUP BY path HAVING count(*) > 1""")
 def path_injectivity(spark: SparkSession, d: str) -> DataFrame:
-    part = F.when(F.col("doc_id") % 3 == 0, "a").otherwise("")
-    return I.clashing_paths(B.documents(spark, d).select((F.col("doc_id") % 1200).alias("number"), part.alias("part")))
+    """A part that is a digit makes paths of different volumes equal."""
+    part = F.when(F.col("doc_id") < 250, "0").otherwise("")
+    return I.clashing_paths(B.documents(spark, d).select((F.col("doc_id") * 2).alias("number"), part.alias("part")))
 
 
 # --- sentences ----------------------------------------------------------------------------------------------------------
@@ -305,11 +321,11 @@ persons AS (SELECT c_custkey AS person_id, translate(CAST(c_custkey % 997 AS VAR
 aliases AS (SELECT s_suppkey AS person_id, translate(CAST(s_suppkey * 13 % 499 AS VARCHAR), '{_DIGITS}', '{_NAMES}') AS alias, s_nationkey AS type FROM supplier),
 eras AS (SELECT translate(CAST(n_nationkey * 7 AS VARCHAR), '{_DIGITS}', '{_NAMES}') AS era FROM nation),
 blocked AS (SELECT DISTINCT name FROM (SELECT era AS name FROM eras UNION ALL SELECT '王' || era FROM eras) WHERE {_USABLE.format('name')}),
-kept AS (SELECT * FROM persons WHERE {_USABLE.format('name')}),
+usable AS (SELECT * FROM persons WHERE {_USABLE.format('name')}),
+kept AS (SELECT * FROM usable u WHERE NOT EXISTS (SELECT 1 FROM blocked b WHERE b.name = u.name)),
 allowed AS (SELECT * FROM aliases WHERE type IN {rules.PERSONAL_ALIAS_TYPES}),
-usable AS (SELECT alias AS name, person_id, 'alias' AS kind FROM allowed WHERE person_id IN (SELECT person_id FROM kept) AND {_USABLE.format('alias')}),
-every AS (SELECT name, person_id, 'primary' AS kind FROM kept UNION ALL SELECT * FROM usable),
-names AS (SELECT DISTINCT * FROM every WHERE name NOT IN (SELECT name FROM blocked))"""
+named AS (SELECT alias AS name, person_id FROM allowed WHERE person_id IN (SELECT person_id FROM kept) AND {_USABLE.format('alias')}),
+names AS (SELECT DISTINCT name, person_id, 'primary' AS kind FROM kept UNION ALL SELECT DISTINCT name, person_id, 'alias' FROM named n WHERE NOT EXISTS (SELECT 1 FROM blocked b WHERE b.name = n.name))"""
 
 
 @query(f"WITH {_KB} SELECT * FROM names")
@@ -318,9 +334,9 @@ def kb_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_KB} SELECT (SELECT count(*) FROM persons) AS person_total, (SELECT count(*) FROM kept) AS person_kept,
-  (SELECT count(*) FROM kept WHERE name NOT IN (SELECT name FROM blocked)) AS primary_names, (SELECT count(*) FROM aliases) AS alias_total, (SELECT count(*) FROM allowed) AS alias_allowed_type,
+  (SELECT count(*) FROM kept) AS primary_names, (SELECT count(*) FROM aliases) AS alias_total, (SELECT count(*) FROM allowed) AS alias_allowed_type,
   (SELECT count(*) FROM names WHERE kind = 'alias') AS alias_names, (SELECT count(DISTINCT name) FROM names) AS unique_names,
-  (SELECT count(*) FROM every WHERE name IN (SELECT name FROM blocked)) AS blocked_nonperson""")
+  (SELECT count(*) FROM usable JOIN blocked USING (name)) + (SELECT count(*) FROM named JOIN blocked USING (name)) AS blocked_nonperson""")
 def kb_build(spark: SparkSession, d: str) -> DataFrame:
     return K.build_names(*_people(spark, d))[1]
 
@@ -340,11 +356,11 @@ def kb_surfaces(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_SURF}, q AS (SELECT name, people, period, CASE period WHEN '唐' THEN [6, 77] WHEN '宋' THEN [15] END AS codes FROM surf, (VALUES ('唐'), ('宋'), ('?')) v(period)),
 f AS (SELECT *, list_filter(people, lambda x: list_contains(codes, x.d)) AS fit FROM q)
 SELECT name, period, CAST(len(CASE WHEN codes IS NULL THEN people ELSE fit END) AS BIGINT) AS strict,
-  CAST(len(CASE WHEN codes IS NULL OR len(fit) = 0 THEN people ELSE fit END) AS BIGINT) AS prefer FROM f""")
+  CAST(CASE WHEN codes IS NULL THEN len(people) WHEN len(fit) > 0 THEN len(fit) WHEN length(name) > 2 THEN len(people) ELSE 0 END AS BIGINT) AS prefer FROM f""")
 def period_policy(spark: SparkSession, d: str) -> DataFrame:
     persons, aliases, eras = _people(spark, d)
     got = K.surfaces(K.build_names(persons, aliases, eras)[0], persons).select("name", "people", F.explode(F.array(*[F.lit(x) for x in "唐宋?"])).alias("period"))
-    size = lambda policy: F.size(C.period_people(F.col("people"), F.col("period"), policy, F.lit(True))).cast("long")
+    size = lambda policy: F.size(C.period_people(F.col("people"), F.col("period"), policy, F.length("name") > 2)).cast("long")
     return got.select("name", "period", size("strict").alias("strict"), size("prefer").alias("prefer"))
 
 
@@ -360,13 +376,43 @@ def place_matches(spark: SparkSession, d: str) -> DataFrame:
     return got.select("sid", "text", F.col("start").cast("long").alias("start"), "source_id", F.size("linking_candidates").cast("long").alias("n_ids"), "linking_status")
 
 
+_PERSON_NAMES = ("太守", "漢朝唐", "元州", "太守州")
+_MARKS = rules.NAME_MARKS
+
+
+@query(f"""WITH {B.SENTENCES}, t AS (SELECT sid, doc_id, translate(text, ' wc', '，王曰') AS t, CASE doc_id % 3 WHEN 0 THEN '唐' WHEN 1 THEN '宋' END AS period FROM sentences),
+pn AS (SELECT DISTINCT [{', '.join(f"'{n}'" for n in _PERSON_NAMES)}][1 + p_size % 4] AS name, p_partkey % 7 AS p, [6, 15, 99][1 + p_partkey % 7 % 3] AS d FROM part),
+people AS (SELECT name, list_sort(list({{'p': p, 'd': d}})) AS people FROM pn GROUP BY name),
+c AS (SELECT sid, t, period, i, substr(t, CAST(i AS INT), CAST(n AS INT)) AS w FROM t, (SELECT DISTINCT length(name) AS n FROM people) l, unnest(range(1, length(t) - n + 2)) u(i)),
+h AS (SELECT *, CASE WHEN i > 1 THEN substr(t, CAST(i - 1 AS INT), 1) ELSE '' END AS b, substr(t, CAST(i + length(name) AS INT), 1) AS a FROM c JOIN people ON w = name),
+k AS (SELECT *, (b <> '' AND strpos('{rules.NAME_BEFORE}', b) > 0) OR (a <> '' AND strpos('{rules.NAME_AFTER}', a) > 0) OR ((b = '' OR strpos('{_MARKS}', b) > 0) AND (a = '' OR strpos('{_MARKS}', a) > 0)) AS near FROM h),
+f AS (SELECT *, CASE period WHEN '唐' THEN [6, 77] WHEN '宋' THEN [15] END AS codes,
+  near OR (a <> '' AND strpos('{rules.VERB_AFTER}', a) > 0) OR regexp_matches(substr(t, CAST(greatest(i - 3, 1) AS INT), CAST(least(i - 1, 3) AS INT)), '({'|'.join(rules.TITLE_BEFORE)})$') AS ctx FROM k WHERE length(name) <> 2 OR near),
+g AS (SELECT *, list_filter(people, lambda x: list_contains(codes, x.d)) AS fit FROM f),
+q AS (SELECT *, CASE WHEN codes IS NULL THEN people WHEN len(fit) > 0 THEN fit WHEN ctx THEN people ELSE [] END AS who FROM g)
+SELECT sid, name AS text, CAST(i - 1 AS BIGINT) AS start, CASE WHEN len(who) = 1 THEN 'cbdb:' || who[1].p END AS source_id, array_to_string(list_sort(list_transform(who, lambda x: 'cbdb:' || x.p)), ',') AS ids,
+  CASE WHEN len(who) = 1 THEN 'linked' ELSE 'ambiguous' END AS linking_status FROM q WHERE len(who) > 0""")
+def person_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Short names in context, people by period or, failing that, by context."""
+    part = spark.read.parquet(f"{d}/part.parquet")
+    person = (F.col("p_partkey") % 7).cast("int")
+    name = F.element_at(F.array(*[F.lit(n) for n in _PERSON_NAMES]), (F.col("p_size") % 4 + 1).cast("int"))
+    dynasty = F.element_at(F.array(F.lit(6), F.lit(15), F.lit(99)), (person % 3 + 1).cast("int"))
+    people = part.select(name.alias("name"), F.struct(person.alias("person_id"), dynasty.alias("dynasty")).alias("x")).groupBy("name").agg(
+        F.array_sort(F.collect_set("x")).alias("people"))
+    period = F.when(F.col("doc_id") % 3 == 0, "唐").when(F.col("doc_id") % 3 == 1, "宋")
+    rows = B.sentences(spark, d).select("sid", F.translate("text", " wc", "，王曰").alias("text"), period.alias("period"))
+    got = C.person_candidates(rows, people, "context", "prefer")
+    return got.select("sid", "text", F.col("start").cast("long").alias("start"), "source_id", F.array_join("linking_candidates", ",").alias("ids"), "linking_status")
+
+
 # --- validation ---------------------------------------------------------------------------------------------------------
 
 def _flawed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Records with one sentence (its first line) and one entity each, defects planted by doc_id."""
+    """Records with one sentence (its first line) and two entities each, defects planted by doc_id."""
     k = F.col("doc_id")
     base = B.documents(spark, d).select("doc_id", k.cast("string").alias("id"), F.col("text"), F.length(F.split("text", "\n")[0]).alias("n"))
-    records = base.select("id", "text", F.when(k % 5 == 0, "needs_review").otherwise("kept").alias("cleaning_status"), (k % 4 == 0).cast("int").alias("n_conflicts"))
+    records = base.select("id", "text", F.when(k % 5 == 0, "needs_review").when(k % 5 == 1, "checked").when(k % 5 == 2, F.lit(None)).otherwise("kept").alias("cleaning_status"), (k % 4 == 0).cast("int").alias("n_conflicts"))
     sentences = base.select("id", F.concat("id", F.lit("-s1")).alias("sid"), F.lit(1).alias("pos"), F.when(k % 11 == 0, -1).when(k % 13 == 0, 2).otherwise(0).alias("start"), F.col("n").alias("end"),
                             F.when(k % 7 == 0, "wrong").otherwise(F.expr("substr(text, 1 + case when doc_id % 13 = 0 and doc_id % 11 <> 0 then 2 else 0 end, n - case when doc_id % 13 = 0 and doc_id % 11 <> 0 then 2 else 0 end)")).alias("text"),
                             F.when(k % 3 == 0, "checked").otherwise("auto").alias("review_status"))
@@ -374,7 +420,10 @@ def _flawed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
                            F.when(k % 19 == 0, 0).otherwise(1).alias("end"), F.when(k % 6 == 0, "?").otherwise(F.substring("text", 1, 1)).alias("text"),
                            F.when(k % 8 == 0, "THING").otherwise("PERSON").alias("label"), F.when(k % 9 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("regex"))).alias("sources"),
                            F.when(k % 2 == 0, "checked").otherwise("auto").alias("review_status"))
-    return records, sentences, entities
+    begin = F.when(k % 10 == 0, 0).otherwise(1)
+    second = base.select("id", F.concat("id", F.lit("-e2")).alias("eid"), F.concat("id", F.when(k % 4 == 1, "-s8").otherwise("-s1")).alias("sentence_id"), begin.alias("start"),
+                         (begin + 2).alias("end"), F.col("text").substr(begin + 1, F.lit(2)).alias("text"), F.lit("PERSON").alias("label"), F.array(F.lit("seed")).alias("sources"), F.lit("checked").alias("review_status"))
+    return records, sentences, entities.unionByName(second)
 
 
 _FLAWED = """b AS (SELECT doc_id AS k, CAST(doc_id AS VARCHAR) AS id, text AS t, length(string_split(text, chr(10))[1]) AS n FROM documents),
@@ -382,7 +431,9 @@ s AS (SELECT k, id, id || '-s1' AS sid, t, CASE WHEN k % 11 = 0 THEN -1 WHEN k %
   CASE WHEN k % 7 = 0 THEN 'wrong' WHEN k % 13 = 0 AND k % 11 <> 0 THEN substr(t, 3, n - 2) ELSE substr(t, 1, n) END AS text, CASE WHEN k % 3 = 0 THEN 'checked' ELSE 'auto' END AS st FROM b),
 s2 AS (SELECT *, a >= 0 AND a < z AND z <= length(t) AS ok FROM s),
 e AS (SELECT b.k, b.id, b.id || '-e1' AS eid, b.t, s.sid AS home, s.a, s.z, 0 AS es, CASE WHEN b.k % 19 = 0 THEN 0 ELSE 1 END AS ee, CASE WHEN b.k % 6 = 0 THEN '?' ELSE substr(b.t, 1, 1) END AS text,
-  CASE WHEN b.k % 8 = 0 THEN 'THING' ELSE 'PERSON' END AS label, b.k % 9 = 0 AS bare, b.k % 2 = 0 AS checked FROM b LEFT JOIN s ON s.id = b.id AND b.k % 17 <> 0),
+  CASE WHEN b.k % 8 = 0 THEN 'THING' ELSE 'PERSON' END AS label, b.k % 9 = 0 AS bare, b.k % 2 = 0 AS checked, b.id || CASE WHEN b.k % 17 = 0 THEN '-s9' ELSE '-s1' END AS "of" FROM b LEFT JOIN s ON s.id = b.id AND b.k % 17 <> 0
+  UNION ALL SELECT b.k, b.id, b.id || '-e2', b.t, s.sid, s.a, s.z, CASE WHEN b.k % 10 = 0 THEN 0 ELSE 1 END, CASE WHEN b.k % 10 = 0 THEN 2 ELSE 3 END, substr(b.t, CASE WHEN b.k % 10 = 0 THEN 1 ELSE 2 END, 2),
+  'PERSON', false, true, b.id || CASE WHEN b.k % 4 = 1 THEN '-s8' ELSE '-s1' END FROM b LEFT JOIN s ON s.id = b.id AND b.k % 4 <> 1),
 e2 AS (SELECT *, es < ee AND ee <= length(t) AS ok FROM e)"""
 
 
@@ -391,7 +442,7 @@ SELECT id, sid AS item, 'invalid_sentence_span' AS code FROM s2 WHERE NOT ok
 UNION ALL SELECT id, sid, 'sentence_text_mismatch' FROM s2 WHERE ok AND substr(t, CAST(a + 1 AS INT), CAST(z - a AS INT)) <> text
 UNION ALL SELECT id, sid, 'non_whitespace_sentence_gap' FROM s2 WHERE ok AND a > 0 AND trim(substr(t, 1, CAST(a AS INT))) <> ''
 UNION ALL SELECT id, eid, 'invalid_entity_span' FROM e2 WHERE NOT ok
-UNION ALL SELECT id, eid, 'entity_text_mismatch' FROM e2 WHERE ok AND substr(t, 1, 1) <> text
+UNION ALL SELECT id, eid, 'entity_text_mismatch' FROM e2 WHERE ok AND substr(t, CAST(es + 1 AS INT), CAST(ee - es AS INT)) <> text
 UNION ALL SELECT id, eid, 'entity_outside_sentence' FROM e2 WHERE ok AND NOT coalesce(es >= a AND ee <= z, false)""")
 def validate_offset(spark: SparkSession, d: str) -> DataFrame:
     return V.offset_issues(*_flawed(spark, d))
@@ -399,15 +450,16 @@ def validate_offset(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {_FLAWED}
 SELECT id, sid AS item, 'unchecked_sentence' AS code FROM s2 WHERE st <> 'checked'
-UNION ALL SELECT id, NULL, 'cleaning_needs_review' FROM b WHERE k % 5 = 0
+UNION ALL SELECT id, NULL, 'cleaning_needs_review' FROM b WHERE k % 5 IN (0, 2)
 UNION ALL SELECT id, NULL, 'unresolved_conflicts' FROM b WHERE k % 4 = 0
 UNION ALL SELECT id, eid, 'invalid_entity_span' FROM e2 WHERE NOT ok
-UNION ALL SELECT id, eid, 'entity_text_mismatch' FROM e2 WHERE ok AND substr(t, 1, 1) <> text
+UNION ALL SELECT id, eid, 'entity_text_mismatch' FROM e2 WHERE ok AND substr(t, CAST(es + 1 AS INT), CAST(ee - es AS INT)) <> text
 UNION ALL SELECT id, eid, 'entity_orphan_sentence' FROM e2 WHERE ok AND home IS NULL
 UNION ALL SELECT id, eid, 'entity_outside_sentence' FROM e2 WHERE ok AND home IS NOT NULL AND NOT (es >= a AND ee <= z)
 UNION ALL SELECT id, eid, 'invalid_internal_label' FROM e2 WHERE ok AND label = 'THING'
 UNION ALL SELECT id, eid, 'unchecked_entity' FROM e2 WHERE ok AND NOT checked
-UNION ALL SELECT id, eid, 'missing_provenance' FROM e2 WHERE ok AND bare""")
+UNION ALL SELECT id, eid, 'missing_provenance' FROM e2 WHERE ok AND bare
+UNION ALL SELECT id, eid, 'entity_overlap' FROM (SELECT *, lag(ee) OVER w AS pe, lag("of") OVER w AS po FROM e2 WHERE ok WINDOW w AS (PARTITION BY id ORDER BY es, ee, label, "of", eid)) WHERE po = "of" AND pe > es""")
 def validate_strict(spark: SparkSession, d: str) -> DataFrame:
     return V.strict_issues(*_flawed(spark, d))
 
@@ -420,7 +472,10 @@ UNION ALL SELECT volume, sid, 'invalid_label' FROM n WHERE doc_id % 3 = 0
 UNION ALL SELECT volume, sid, 'invalid_entity_span' FROM n WHERE doc_id % 4 = 0
 UNION ALL SELECT volume, sid, 'entity_overlap' FROM n WHERE doc_id % 5 = 0 AND doc_id % 4 <> 0
 UNION ALL SELECT volume, sid, 'extra_provenance_fields' FROM n WHERE doc_id % 7 = 0
-UNION ALL SELECT NULL, NULL, 'sentence_count_mismatch' WHERE (SELECT count(*) FROM n WHERE volume <> 'v7') <> 1""")
+UNION ALL SELECT NULL, NULL, 'sentence_count_mismatch' WHERE (SELECT count(*) FROM n WHERE volume <> 'v7') <> 1
+UNION ALL SELECT NULL, NULL, unnest(['missing_manifest', 'invalid_manifest_json', 'sentence_count_mismatch', 'source_corpus_hash_mismatch', 'source_report_hash_mismatch'])
+UNION ALL SELECT 'v' || doc_id, NULL, 'invalid_ner_json' FROM documents WHERE doc_id % 5 < 2
+UNION ALL SELECT NULL, sid, unnest(CASE doc_id % 4 WHEN 0 THEN ['invalid_label'] WHEN 1 THEN ['invalid_entity_span'] WHEN 2 THEN ['entity_overlap'] ELSE [] END) FROM n""")
 def compliance(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("doc_id")
     base = B.documents(spark, d).select("doc_id", F.concat(F.lit("v"), (k % 50).cast("string")).alias("volume"), k.alias("pos"))
@@ -431,7 +486,16 @@ def compliance(spark: SparkSession, d: str) -> DataFrame:
     first = F.concat(F.lit('{"text":"a","label":"'), label, F.lit('","start":0,"end":'), stop, extra, F.lit("}"))
     second = F.concat(F.lit('{"text":"a","label":"LOC","start":'), F.when(k % 5 == 0, "1").otherwise("2"), F.lit(',"end":4}'))
     ner = base.select("volume", "pos", F.when(k % 31 == 0, "same").otherwise(F.concat(F.lit("x"), k.cast("string"))).alias("sentence_id"), F.array(first, second).alias("entities"))
-    return V.compliance_issues(seg, ner, declared=1, mode="final")
+    found = V.compliance_issues(seg, ner, declared=1, mode="final")
+    for manifest in (None, "{", '{"sentences": 2, "source_corpus_sha256": "x"}'):
+        found = found.unionByName(V.manifest_issues(spark, manifest, 1, "a", "b"))
+    value = F.when(k % 5 == 0, '{"a": 1}').when(k % 5 == 1, "[").otherwise("[]")
+    found = found.unionByName(V.unreadable_volumes(base.select(F.concat(F.lit("v"), k.cast("string")).alias("volume"), value.alias("value"))))
+    e = lambda label, a, b: F.struct(F.lit(label).alias("label"), F.lit(a).alias("start"), F.lit(b).alias("end"))
+    more = F.when(k % 4 == 0, F.array(e("THING", 0, 1))).when(k % 4 == 1, F.array(e("PER", 0, 2), e("LOC", 1, 1))).when(k % 4 == 2, F.array(e("PER", 0, 2), e("LOC", 1, 3))).otherwise(F.array(e("PER", 0, 2), e("LOC", 2, 3)))
+    sid = F.when(k % 31 == 0, "same").otherwise(F.concat(F.lit("x"), k.cast("string")))
+    broken = V.invariant_issues(base.select(sid.alias("sentence_id"), more.alias("entities")))
+    return found.unionByName(broken.select(F.lit(None).cast("string").alias("volume"), "item", "code"))
 
 
 # --- metrics and samples ------------------------------------------------------------------------------------------------
@@ -511,13 +575,22 @@ def sample_cards(spark: SparkSession, d: str) -> DataFrame:
     return S.cards(rows).select("sid", "title", F.col("rank").cast("long").alias("rank"))
 
 
+@query(f"""{_FOLD} SELECT CAST(doc_id AS VARCHAR) AS id, doc_id || '-e' || row_number() OVER (PARTITION BY doc_id ORDER BY idx, start) AS eid, sid AS sentence_id, label, start, stop AS "end" FROM ents JOIN sentences USING (sid)""")
+def corpus_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Annotated records written as JSON lines and read back."""
+    path = scratch(spark, "corpus")
+    S_.write_annotated(_annotated(spark, d).withColumn("record_text", F.lit("")).drop("doc_id"), path)
+    back = S_.read_rows(spark, path).select("id", F.explode("entities").alias("e"))
+    return _longs(back.select("id", "e.eid", "e.sentence_id", "e.label", "e.start", "e.end"), "start", "end")
+
+
 # --- review and delivery ------------------------------------------------------------------------------------------------
 
 def _reviewed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Two entities per sentence; reviewers drop, add, relabel or clear by doc_id; some sentences are missing or changed."""
     k = F.col("doc_id")
     e = lambda a, b, x: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(x).alias("label"))
-    ann = B.sentences(spark, d).where("length(text) >= 4").select("sid", "doc_id", "text", F.lit(0).alias("start"), F.array(e(0, 1, "PERSON"), e(2, 3, "LOCATION")).alias("entities"), F.array(F.lit("c")).alias("conflicts"))
+    ann = B.sentences(spark, d).where("length(text) >= 4").select("sid", "doc_id", "text", F.lit(0).alias("start"), F.when(k % 13 == 0, F.array().cast("array<struct<start:int,end:int,label:string>>")).otherwise(F.array(e(0, 1, "PERSON"), e(2, 3, "LOCATION"))).alias("entities"), F.array(F.lit("c")).alias("conflicts"))
     spans = (F.when(k % 5 == 1, F.array(e(0, 1, "PERSON"))).when(k % 5 == 2, F.array(e(0, 1, "PERSON"), e(2, 3, "LOCATION"), e(3, 4, "TIME")))
              .when(k % 5 == 3, F.array(e(0, 1, "BOOK"), e(2, 3, "LOCATION"))).when(k % 5 == 4, F.array().cast("array<struct<start:int,end:int,label:string>>")).otherwise(F.array(e(0, 1, "PERSON"), e(2, 3, "LOCATION"))))
     label = F.transform(spans, lambda s: F.array(s["start"].cast("string"), s["end"].cast("string"), s["label"]))
@@ -527,9 +600,8 @@ def _reviewed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query(f"""WITH {B.SENTENCES}, a AS (SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'missing' WHEN doc_id % 11 = 0 THEN 'text_mismatch' ELSE 'checked' END AS status, doc_id % 5 AS m FROM sentences WHERE length(text) >= 4)
 SELECT count(*) FILTER (WHERE status = 'checked') AS reviewed, count(*) FILTER (WHERE status = 'missing') AS missing, count(*) FILTER (WHERE status = 'text_mismatch') AS text_mismatch,
-  CAST(coalesce(sum(CASE m WHEN 2 THEN 1 WHEN 3 THEN 1 ELSE 0 END) FILTER (WHERE status = 'checked'), 0) AS BIGINT) AS added,
-  CAST(coalesce(sum(CASE m WHEN 1 THEN 1 WHEN 3 THEN 1 WHEN 4 THEN 2 ELSE 0 END) FILTER (WHERE status = 'checked'), 0) AS BIGINT) AS removed,
-  count(*) FILTER (WHERE status = 'checked' AND m <> 0) AS updated, count(*) FILTER (WHERE status = 'checked' AND m = 4) AS checked_empty, count(*) FILTER (WHERE status = 'checked') AS resolved FROM a""")
+  count(*) FILTER (WHERE status = 'checked' AND bare AND m <> 4) AS added, count(*) FILTER (WHERE status = 'checked' AND NOT bare AND m = 4) AS removed,
+  count(*) FILTER (WHERE status = 'checked' AND NOT bare AND m IN (1, 2, 3)) AS updated, count(*) FILTER (WHERE status = 'checked' AND m = 4) AS checked_empty, count(*) FILTER (WHERE status = 'checked') AS resolved FROM (SELECT *, doc_id % 13 = 0 AS bare FROM a)""")
 def review_import(spark: SparkSession, d: str) -> DataFrame:
     return R.review_statistics(R.apply_review(*_reviewed(spark, d)))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -33,6 +35,20 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share (spark.checkpoint.dir); a temporary one only for a local master."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = given.get() if given.isDefined() else None
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="scriptorium-"))
+        base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def local_session(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
     """A local session for tests and benchmarks."""
     return (

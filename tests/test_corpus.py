@@ -110,9 +110,14 @@ def test_knowledge(spark):
     aliases = spark.createDataFrame([(1, "介甫", 4), (1, "(王+安)", 4), (2, "玄德", 4), (2, "國師", 8)], "person_id int, alias string, type int")
     eras = spark.createDataFrame([("唐", "貞觀")], "dynasty string, era string")
     names, counts = K.build_names(persons, aliases, eras)
-    want = {"person_total": 6, "alias_total": 4, "alias_allowed_type": 3, "alias_names": 2, "unique_names": 4, "blocked_nonperson": 1}
-    got = counts.first().asDict()
-    assert {k: got[k] for k in want} == want
+    want = {"person_total": 6, "person_kept": 3, "primary_names": 3, "alias_total": 4, "alias_allowed_type": 3, "alias_names": 2, "unique_names": 4, "blocked_nonperson": 1}
+    assert counts.first().asDict() == want
+    more = aliases.union(spark.createDataFrame([(6, "太宗", 4)], aliases.schema))
+    names, counts = K.build_names(persons, more, eras)
+    assert names.where("name = '太宗'").count() == 0 and counts.first()["alias_names"] == 2
+    assert K.build_names(persons, None, eras)[1].first()["alias_total"] == 0 and K.build_names(persons, aliases.drop("type"), eras)[1].first()["alias_allowed_type"] == 4
+    decomposed = spark.createDataFrame([(1, "\uf900\uf901", 1)], "person_id int, name string, dynasty int")
+    assert K.clean_persons(decomposed).first()["primary_name"] == "\u8c48\u66f4"  # normal form C
     surf = {r["name"]: [p["person_id"] for p in r["people"]] for r in K.surfaces(names, persons).collect()}
     assert surf["劉備"] == [2, 3] and surf["王安石"] == [1] and "唐貞觀" not in surf
 
@@ -214,3 +219,116 @@ def test_stream_yields_patterns_and_gazetteer(spark, tmp_path):
     rows = lambda df: sorted((r.sid, r.start, r.end, r.label, r.source) for r in df.collect())
     got = rows(spark.table("streamed"))
     assert got == rows(want) and {r[4] for r in got} == {r.source for r in want.select("source").distinct().collect()} and len({r[4] for r in got}) == 2
+
+
+def strict(spark, entities, cleaning="kept", scope="full", pilot=None):
+    records = spark.createDataFrame([("r", "甲乙丙丁戊己", cleaning, 0)], "id string, text string, cleaning_status string, n_conflicts int")
+    sents = spark.createDataFrame([("r", "s1", 1, 0, 6, "", "checked"), ("r", "s2", 2, 0, 6, "", "checked")], "id string, sid string, pos int, start int, end int, text string, review_status string")
+    rows = [("r", f"e{k}", s, a, b, "甲乙丙丁戊己"[a:b], "PERSON", ["x"], "checked") for k, (s, a, b) in enumerate(entities)]
+    ents = spark.createDataFrame(rows, "id string, eid string, sentence_id string, start int, end int, text string, label string, sources array<string>, review_status string")
+    return sorted(r["code"] for r in V.strict_issues(records, sents, ents, scope, pilot).collect())
+
+
+def test_strict_rules(spark):
+    assert strict(spark, [("s1", 0, 4), ("s1", 1, 1), ("s1", 2, 5)]) == ["entity_overlap", "invalid_entity_span"]
+    assert strict(spark, [("s1", 0, 3), ("s2", 1, 4)]) == [] and strict(spark, [("s1", 0, 3), ("s1", 3, 4)]) == []
+    assert strict(spark, [], "dirty") == strict(spark, [], None) == ["cleaning_needs_review"] and strict(spark, [], "checked") == []
+    assert strict(spark, [], "dirty", "final") == ["mapping_unconfirmed"] and strict(spark, [], "dirty", "pilot") == []
+    assert strict(spark, [], "dirty", "pilot", spark.createDataFrame([("s1",)], "sentence_id string")) == ["cleaning_needs_review"]
+
+
+def test_unknown_label_is_fatal(spark):
+    rows = spark.createDataFrame([("PERSON",), ("THING",)], "label string")
+    assert rows.limit(1).select(T.submission_label(F.col("label"), rules.LabelMapping())).first()[0] == "PER"
+    with pytest.raises(Exception, match="no delivered label for THING"):
+        rows.select(T.submission_label(F.col("label"), rules.LabelMapping())).collect()
+
+
+def test_final_gates(spark):
+    records = spark.createDataFrame([("r1", "漢書", "甲乙丙"), ("r2", "?", "甲")], "id string, title string, text string")
+    with pytest.raises(ValueError, match="no work id"):
+        X.with_work_ids(records, I.works(spark))
+    assert X.with_work_ids(records.where("id = 'r1'"), I.works(spark)).first()["work_id"] == "HCH_006"
+    e = "array<struct<text:string,label:string,start:int,end:int,review_status:string,linking_status:string>>"
+    ann = spark.createDataFrame([("r1", "s1", 1, 0, "甲乙丙", "checked", "HCH_006", "01", [("甲乙", "PERSON", 0, 2, "checked", None), ("乙丙", "LOCATION", 1, 3, "checked", None)])],
+                                f"id string, sid string, idx int, start int, text string, review_status string, work_id string, volume string, entities {e}")
+    recs = records.where("id = 'r1'").selectExpr("id", "text", "'kept' AS cleaning_status", "0 AS n_conflicts")
+    sents = ann.selectExpr("id", "sid", "start", "3 AS end", "review_status")
+    ents = ann.selectExpr("id", "explode(entities) AS e").selectExpr("id", "concat('e', e.start) AS eid", "'s1' AS sentence_id", "e.start", "e.end", "e.text", "e.label", "array('human') AS sources", "e.review_status")
+    mapping = rules.LabelMapping(confirmed=True)
+    with pytest.raises(ValueError, match="fails validation.*entity_overlap"):
+        X.final_rows(ann, ["idx"], recs, sents, ents, mapping)
+    with pytest.raises(ValueError, match="break their rules.*entity_overlap"):
+        X.final_rows(ann, ["idx"], recs, sents, ents.limit(1), mapping)
+    one = ann.withColumn("entities", F.slice("entities", 1, 1))
+    assert X.final_rows(one, ["idx"], recs, sents, ents.limit(1), mapping).first()["sentence_id"] == "HCH_006_01_000001"
+
+
+def test_corpus_files(spark, tmp_path):
+    from scriptorium.sources import corpus as S2
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw/漢書_full.txt").write_text("漢書\n# 卷一\n漢朝太守。至長安城。\n\n# 卷二\n惠帝。\n", "utf-8")
+    total = S2.prepare(I.read_lines(spark, str(tmp_path / "raw")), str(tmp_path / "out"), I.works(spark))
+    assert (total["records"], total["works"], total["removed_lines"]) == (2, 1, {"work_title": 1, "heading": 2, "blank": 1})
+    assert '"records": 2' in S2.read_text(spark, str(tmp_path / "out/statistics.json"))
+    corpus = S2.read_rows(spark, str(tmp_path / "out/corpus"))
+    sents = G.sentences(corpus.drop("sentences", "entities", "unresolved_conflicts"))
+    K.write_seeds(str(tmp_path / "seeds.jsonl.gz"), rules.seeds(), "1", "CC0")
+    people = spark.createDataFrame([("惠帝", [(1, 29)])], "name string, people array<struct<person_id:int,dynasty:int>>")
+    K.write_table(people, str(tmp_path / "names"), "names", "1", "CC0")
+    sources = S2.build_sources(spark, str(tmp_path / "seeds.jsonl.gz"), str(tmp_path / "names"), str(tmp_path / "missing"), "all", "off")
+    assert [s.name for s in sources] == ["regex", "seed", "cbdb"]
+    path = str(tmp_path / "annotated")
+    S2.write_annotated(M.annotate(sents, S2.candidates(sources, sents)), path)
+    back = S2.read_rows(spark, path)
+    got = {(e["label"], e["text"]) for r in back.collect() for e in r["entities"]}
+    assert ("PERSON", "惠帝") in got and ("OFFICIAL_TITLE", "太守") in got and {r["period"] for r in back.collect()} == {"西漢"}
+    flat = S2.sentences_of(back)
+    S2.write_review(flat.withColumnRenamed("id", "rid"), str(tmp_path / "review"))
+    body = S2.import_review_files(spark, str(tmp_path / "review"), path, str(tmp_path / "gold"), strict=True)
+    assert body["n_reviewed"] == 3 and body["n_updated"] == body["n_added"] == body["n_removed"] == 0
+    for bad in ((path, path), (path, str(tmp_path / "gold")), (str(tmp_path / "none"), str(tmp_path / "g2"))):
+        with pytest.raises(ValueError):
+            S2.import_review_files(spark, str(tmp_path / "review"), *bad)
+    S2.write_rows(spark.createDataFrame([("漢書_full-000001-s1", "另一", [["0", "9", "PERSON"]])], "id string, data string, label array<array<string>>"), str(tmp_path / "wrong"))
+    with pytest.raises(ValueError, match="invalid_span"):
+        S2.import_review_files(spark, str(tmp_path / "wrong"), path, str(tmp_path / "g3"))
+    (tmp_path / "mixed").mkdir()
+    (tmp_path / "mixed/a.jsonl").write_text('{"id": "a"}\n\n[1]\n{\n{"id": "b"}\n', "utf-8")
+    rows, bad = S2.read_tolerant(spark, str(tmp_path / "mixed"), "id string")
+    assert {r["id"] for r in rows.collect()} == {"a", "b"} and [r["line_no"] for r in bad.orderBy("line_no").collect()] == [3, 4]
+    part = next((tmp_path / "names").glob("part-*"))
+    part.write_bytes(part.read_bytes() + b"x")
+    assert [s.name for s in S2.build_sources(spark, names=str(tmp_path / "names"))] == ["regex"]
+
+
+def test_entity_shapes_and_pilot_ids(spark):
+    e = "array<struct<start:int,end:int,label:string,sentence_id:string>>"
+    records = spark.createDataFrame([([("s",)], [(0, 1, "A", "s")])], f"sentences array<struct<sid:string>>, entities {e}")
+    sents = spark.createDataFrame([("", "s", [(0, 1, "A", None)])], f"sentence_id string, sid string, entities {e}")
+    flat = spark.createDataFrame([("s", 0, 1, "A")], "sentence_id string, start int, end int, label string")
+    assert [E.entities_of(x).collect() for x in (records, sents)] == [flat.collect()] * 2 and E.entities_of(flat).count() == 1
+    ids = spark.createDataFrame([("", "a"), ("b", "c"), (None, None)], "sentence_id string, sid string")
+    with pytest.raises(ValueError):
+        E.pilot_ids(ids)
+    assert {r[0] for r in E.pilot_ids(ids, "ignore").collect()} == {"a", "b"}
+
+
+def test_dictionary_by_join_equals_automaton(spark):
+    rows = spark.createDataFrame([("a", "長安漢朝安漢"), ("b", None), ("c", "漢" * 9)], "sid string, text string")
+    terms = spark.createDataFrame([("長安", 1), ("漢", 2), ("漢漢", 3), ("漢", 4), ("", 5)], "term string, k int")
+    got = [sorted(map(tuple, C.dictionary_matches(rows, terms, n).select("sid", "k", "start", "end", "pos", "near", "match").collect())) for n in (100, 0)]
+    assert got[0] == got[1] and len(got[0]) == 1 + 2 * 11 + 8
+
+
+def test_pilot_manifest_and_page(spark):
+    rows = spark.createDataFrame([(f"{t}{k}", t) for t in "ab" for k in range(5)], "sid string, title string")
+    a, b = rows.where("title = 'a'"), rows.where("title = 'b'")
+    assert S.pilot_manifest(a, b, 5)["work_quota"] == {"a": 5}
+    with pytest.raises(ValueError):
+        S.pilot_manifest(a, rows, 5)
+    card = {"title": "t", "sid": "s", "text": "漢", "entities": [{"start": 0, "end": 1, "label": "DYNASTY"}],
+            "conflicts": [{"kind": "same_span_label", "candidates": [{"label": "<x>", "start": 0, "end": 1, "source": "seed"}, {"label": "B", "start": 0, "end": 1, "sources": ["regex"]}]}]}
+    got = X.page([card])
+    assert "same_span_label" in got and "&lt;x&gt;" in got and 'class="on">DYNASTY' in got and 'class="off">PERSON' in got
