@@ -2,34 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 #: ASCII white space that separates words.
 SPACE = "\\x20\\x09-\\x0D"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None) if hasattr(
-            spark.sparkContext._jsc.sc().getCheckpointDir(), "getOrElse") else None
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="scriptorium-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return base.rstrip("/")
-
-
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the folder all executors share (spark.checkpoint.dir); an error on a cluster that names none."""
+    return scratch(spark, label)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

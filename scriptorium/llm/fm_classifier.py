@@ -33,7 +33,7 @@ SAMPLE = 6000
 RANK, EPOCHS, RATE, BATCH = 8, 12, 0.08, 64
 _BINS = 12
 #: Words whose bucket a process remembers.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 300_000
 _STATS = ("length", "symbols", "capitals", "digits", "marks", "pipes", "bang", "word length", "short", "line length",
           "repeated lines", "distinct words", "non-ascii", "blanks")
 N_WORDS = 1 << WORD_BITS

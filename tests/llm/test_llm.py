@@ -483,9 +483,8 @@ def test_pipeline_near_stage_finds_every_pair(spark, monkeypatch):
     texts += [edited(rng, base[2], 2) for _ in range(30)] + ["", None, " \n", "one", "ONE", "one two"]
     d = docs(spark, texts).select("doc_id", "text", "lang", "source", "n_chars")
     want = brute_near(texts)
-    for sample in (near_copies.SAMPLE, 1):  # frequent shingles unknown and known
-        monkeypatch.setattr(near_copies, "SAMPLE", sample)
-        assert sorted(r["doc_id"] for r in cp.near(spark, d, "").collect()) == want
+    monkeypatch.setattr(near_copies, "SAMPLE", 2)  # frequent shingles known and unknown
+    assert sorted(r["doc_id"] for r in cp.near(spark, d, "").collect()) == want
     assert cp.near(spark, d.limit(0), "").count() == 0
 
 
@@ -498,3 +497,66 @@ def test_pipeline_near_stage_keeps_texts_of_equal_fingerprints(spark):
     texts += [edited(rng, texts[1], 1), "a " * 90 + texts[2]]
     d = docs(spark, texts).select("doc_id", "text", "lang", "source", "n_chars")
     assert sorted(r["doc_id"] for r in cp.near(spark, d, "").collect()) == brute_near(texts) == [0, 1, 2]
+
+
+def test_quality_query(spark, tmp_path):
+    """op10: folds, held_out and predicted as the query states them; labels of held-out rows change nothing."""
+    from scriptorium.llm.queries import op10_quality_classifier
+
+    rng = random.Random(44)
+    good = [rng.random() < 0.6 for _ in range(150)]
+    texts = [prose(rng, 60) if g else prose(rng, 60).replace(" ", "### ") for g in good]
+    spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)] + [(None, None, "en", "s", 0), (200, "", "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/a/documents.parquet")
+    held = [zlib.crc32(str(k).encode()) % 3 == 1 for k in range(150)]
+    for name, flip in (("a", False), ("b", True)):
+        rows = [(k, int(g) ^ int(flip and h), 0) for k, (g, h) in enumerate(zip(good, held))]
+        spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    spark.read.parquet(f"{tmp_path}/a/documents.parquet").write.parquet(f"{tmp_path}/b/documents.parquet")
+    got = [sorted(map(tuple, op10_quality_classifier(spark, f"{tmp_path}/{x}").select("doc_id", "held_out", "score", "predicted").collect()), key=str) for x in "ab"]
+    assert got[0] == got[1] and len(got[0]) == 152
+    for k, h, score, predicted in got[0]:
+        assert 0 <= score <= 1 and predicted == int(score >= 0.5) and h == (zlib.crc32(("" if k is None else str(k)).encode()) % 3 == 1)
+    right = [good[k] == p for k, h, _, p in got[0] if h and k is not None and k < 150]
+    assert sum(right) >= 0.9 * len(right)
+
+
+def test_pipeline_run_equals_brute_force(spark, tmp_path):
+    """All stages on a fixture with repeated runs, near copies, leaks, nulls and clashing columns; then on empty tables."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(77)
+    text = lambda n: prose(rng, n, 4000)
+    run, items = "\n".join(text(30) for _ in range(3)), [(0, text(40)), (1, text(25))]
+    texts = [text(rng.randrange(80, 160)) for _ in range(60)] + [text(70).replace(" ", " ### ", 60) for _ in range(20)]
+    texts += [f"{text(60)}\n{run}", f"{run}\n{text(80)}", run, edited(rng, texts[0], 1), texts[1], f"{texts[2]} {items[0][1]}", " ".join(items[1][1].split()[:24]), text(2000), "", None, " "]
+    rows = [(k, t, "en", "s", len(t or ""), k, k) for k, t in enumerate(texts)] + [(None, texts[3], "en", "s", 1, 0, 0), (5, texts[5], "en", "s", 1, 0, 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, left int, score int").withColumn("n_chars", F.col("n_chars").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, int(k < 60), 0) for k in range(80)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = fm_classifier.fit(read, fm_classifier.marks_of(spark.read.parquet(f"{tmp_path}/labels.parquet")))
+    now = sorted(((r[0], r[1]) for r in rows if model.score(*fm_classifier.features(r[1])) >= 0.5), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    assert 50 < len(now) < 85
+    gone = brute_lines([t for _, t in now], 50)
+    cut = []
+    for d, (k, t) in enumerate(now):
+        own = [i for x, i in gone if x == d]
+        kept = [s for i, s in enumerate((t or "").split("\n")) if i not in own]
+        if not own or any(s.strip() for s in kept):
+            cut.append((k, "\n".join(kept) if own else t))
+    now = [cut[i] for i in brute_near([t for _, t in cut])]
+    bad = {d for d, _ in brute_leaks([t for _, t in now], items)}
+    now = [r for d, r in enumerate(now) if d not in bad]
+    enc, want = tokenizing.encoder(vocabulary("byte_bpe_50k.json")), {}
+    for k, t in now:
+        ids = enc.ids(t) + b"\2\0\0\0"
+        want[k] = (len(ids) // 4, zlib.crc32(ids[: 4 * (len(ids) // 4 % 1024 or 1024)] if len(ids) > 4096 else ids))
+    out = cp.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (sum(x["length"] for x in out if x["doc_id"] == r["doc_id"]), r["ids_crc32"]) for r in out if r["piece"] == 0} == want and len(want) == len(now)
+    seqs = Counter()
+    for r in out:
+        seqs[r["sequence_id"]] += r["length"]
+    assert max(seqs.values()) <= 1024
+    for name, step in cp.STAGES:
+        got = step(spark, read.limit(0), str(tmp_path))
+        assert got.count() == 0 and (name == "pack" or got.columns == read.columns)
