@@ -4,12 +4,13 @@ An item of w words is compared with windows of w words of a document. Both are m
 shingles (items below five words: one shingle of all their words). The similarity is the weighted
 Jaccard of the multisets: sum of smaller counts over sum of larger counts; a leak has 0.8 or more.
 
-Two exact bounds spare work without losing a leak. A window of m and an item of n shingles need s(m+n)/(1+s)
-shared ones for a similarity s; m is n, or all shingles of a document that has fewer. So a document must
-hold, and a window contain, that many positions whose shingle the item has. And sliding a window right past a shingle the item lacks cannot lower the similarity, so
-the best window starts at a shared shingle or is the last one; only such windows are looked at.
+Windows have the sizes of items. Two exact bounds keep those that can reach the similarity, without regard to which
+item they resemble. A window of m and an item of n shingles need s(m+n)/(1+s) shared ones for a similarity s; m is n,
+or all shingles of a document that has fewer. So a window needs that many places whose shingle occurs in some item of
+its size. And sliding a window right past a shingle that no item of its size has cannot lower a similarity, so the
+best window starts at a shared shingle or is the last one.
 
-Windows and items are fingerprinted (SimHash over shingle hashes) and meet by multi-index blocks: eight
+Which windows and items meet is found by fingerprints (SimHash over shingle hashes) and multi-index blocks: eight
 blocks of eight bits, of which one differs by at most `RADIUS // 8` bits between fingerprints within the
 radius. Items are indexed under all block values that near; windows of equal size probe the eight blocks
 with an equality join, which finds every pair within the radius. Similarity then verifies exactly.
@@ -92,42 +93,48 @@ def _common(a: str, b: str) -> Column:
     return F.size(F.array_intersect(numbered(a), numbered(b)))
 
 
+def _windows(part: DataFrame, has: DataFrame, k: int, similarity: float) -> DataFrame:
+    """doc_id, th, w, start, win: the windows of w words that hold as many shingles of w-word items as similarity needs.
+
+    Places of such shingles come in order, so a window from one of them holds enough if the place `need - 1` further
+    on is still inside: work is linear in the places."""
+    place = part.select("doc_id", "th", F.posexplode("ds").alias("p", "h")).join(has.select("h", "ws"), "h")
+    place = place.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "p", F.explode("ws").alias("w"))
+    hit = place.groupBy("d", "t", "w").agg(F.sort_array(F.collect_list("p")).alias("hit"))
+    both = hit.join(part, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
+    both = both.withColumn("n", F.col("w") - (k - 1)).withColumn("need", _need(F.size("ds"), F.col("n"), similarity))
+    both = both.where(F.size("hit") >= F.col("need")).withColumn("last", F.greatest(F.lit(0), F.size("ds") - F.col("n")))
+    full = F.transform("hit", lambda p, j: F.when((p < F.col("last")) & (F.get(F.col("hit"), j + F.col("need") - 1) < p + F.col("n")), p))
+    end = F.when(F.get(F.col("hit"), F.size("hit") - F.col("need")) >= F.col("last"), F.array("last"))
+    starts = F.concat(F.array_compact(full), F.coalesce(end, F.array().cast("array<int>")))
+    return both.select("doc_id", "th", "w", "n", "ds", F.explode(starts).alias("start")).select(
+        "doc_id", "th", "w", "start", F.slice("ds", F.col("start") + 1, F.col("n")).alias("win"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, start (word), words, distance, similarity: the best window per document and leaked item."""
     items = stage(items_of(benchmark, words), "bench-items")
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most `words` values
     text = docs.select("doc_id", "text").where("text is not null")
-    per_item = items.select("item_id", "k", F.size("sh").alias("n"), F.explode("sh").alias("h")).distinct()
-    wanted = _small(per_item.groupBy("k", "h").agg(F.collect_list(F.struct("item_id", "n")).alias("its")))
+    # per shingle the sizes in words of items that have it: no more values than items have sizes
+    has = items.select("k", "w", F.explode("sh").alias("h")).groupBy("k", "h").agg(F.collect_set("w").alias("ws"))
+    has = _small(stage(has, "bench-has"))
     found = None
     for k in sizes or [words]:
         split = text.select("doc_id", F.xxhash64("text").alias("th"), word_array(ascii_lower(F.col("text"))).alias("x"))
         at = split.select("doc_id", "th", (F.size("x") - (k - 1)).alias("m"), F.explode(_shingles(F.col("x"), k)).alias("h"))
-        hits = at.join(wanted.where(F.col("k") == k).select("h", "its"), "h").select("doc_id", "th", "m", F.explode("its").alias("it"))
-        hits = hits.groupBy("doc_id", "th", F.col("it.item_id").alias("item_id"), "m", F.col("it.n").alias("n")).agg(F.count("*").alias("held"))
-        hits = hits.where(F.col("held") >= _need(F.col("m"), F.col("n"), similarity)).select("doc_id", "th", "item_id", F.lit(k).alias("k"))
+        hits = at.join(has.where(F.col("k") == k).select("h", "ws"), "h").select("doc_id", "th", "m", F.explode("ws").alias("w"))
+        hits = hits.groupBy("doc_id", "th", "w", "m").agg(F.count("*").alias("held"))
+        hits = hits.where(F.col("held") >= _need(F.col("m"), F.col("w") - (k - 1), similarity)).select("doc_id", "th")
         found = hits if found is None else found.union(hits)
-    cand = stage(found, "bench-candidates")
-    keys = _small(cand.select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct())
+    keys = _small(stage(found.select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct(), "bench-candidates"))
     rows = text.select("doc_id", F.xxhash64("text").alias("th"), "text").join(
         keys, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left_semi").dropDuplicates(["doc_id", "th"])
     rows = stage(rows.select("doc_id", "th", word_array(ascii_lower(F.col("text"))).alias("x")), "bench-docs")
     held = None
     for k in sizes or [words]:
-        part = stage(rows.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), _shingles(F.col("x"), k).alias("ds")), "bench-shingles")
-        pair = cand.where(F.col("k") == k).join(items.drop("k"), "item_id").join(
-            part, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
-        pair = pair.select("doc_id", "th", "item_id", "w", "sh", "ds", F.size("sh").alias("n"))
-        pair = pair.withColumn("need", _need(F.size("ds"), F.col("n"), similarity))
-        hit = F.filter(F.transform("ds", lambda v, i: F.when(F.array_contains("sh", v), i)), lambda i: i.isNotNull())
-        pair = stage(pair.withColumn("hit", hit), "bench-hits")
-        last = F.greatest(F.lit(0), F.size("ds") - F.col("n"))
-        starts = F.array_distinct(F.transform("hit", lambda i: F.least(i, last)))
-        starts = F.filter(starts, lambda s: F.size(F.filter("hit", lambda p: (p >= s) & (p < s + F.col("n")))) >= F.col("need"))
-        win = pair.select(
-            "doc_id", "th", "w", "n", "ds", F.explode(starts).alias("start")).select(
-            "doc_id", "th", "w", "start", F.slice("ds", F.col("start") + 1, F.col("n")).alias("win"))
-        win = win.dropDuplicates(["doc_id", "th", "w", "start"])
+        part = stage(rows.select("doc_id", "th", _shingles(F.col("x"), k).alias("ds")), "bench-shingles")
+        win = _windows(part, has.where(F.col("k") == k), k, similarity)
         held = win if held is None else held.union(win)
     windows = stage(held, "bench-windows")
     prints = _fingerprints(windows, ["doc_id", "th", "w", "start"], "win")
