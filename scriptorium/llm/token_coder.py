@@ -1,21 +1,20 @@
-"""Operator 1: token ids in binary files, packed by a context-mixing range coder.
+"""Operator 1: token ids in binary files, packed by an adaptive context-mixing range coder.
 
 A shard is cut into blocks of `BLOCK` ids. Blocks are coded independently: each starts from the same
 empty model and carries a crc32 of its ids. All blocks of a shard run in lockstep, one numpy lane per
 block, so the coder works on vectors.
 
-Model of a lane:
-* order 2 predicts an id from a hash of the last two ids, order 1 from the last id; both remember the id
-  last seen there with a confidence of 0 to 3;
-* whether the order-2 guess holds is estimated by three adaptive models (by order-2 confidence, by order-1
-  confidence and agreement, and the order-0 rate); the estimates are mixed by weights that follow how
-  well each of them predicted so far (Bayesian mixing with a floor);
-* whether the order-1 guess holds instead follows its confidence, adaptively;
-* other ids are coded by the order-0 distribution of the shard's ids, kept in its header.
-A 64-bit range coder with 32-bit words codes the outcome, then the id where no guess held.
+Model of a lane. Ids are numbered in the order in which the block first uses them:
+* order 0 predicts an id by its count in the block so far, and a new id by the adaptive rate of new ids;
+* order 1 and order 2 put an adaptive part of their probability, which goes by how sure they are, on the id
+  that followed the last id, or a hash of the last two, and the rest on order 0;
+* the three distributions are mixed linearly; weights follow how well each predicted so far (Bayesian
+  mixing with a floor).
+The mixture gives the probabilities of the two guessed ids, of a new id, and of all others. A 64-bit
+range coder with 32-bit words codes which of them it is, then another id by its count, or a new one by
+a fixed prior that falls with the id, as merges are listed by frequency.
 
-File: header, table of documents (doc_id, null flag, ids), order-0 table (id, count), table of blocks
-(words, crc32), words.
+File: header, table of documents (doc_id, null flag, ids), table of blocks (words, crc32), words.
 
 Nulls and empty texts encode to the end id alone. A null doc_id sorts first and is kept. Repeated rows
 are kept, tied doc_ids ordered by text. An empty table gives an empty manifest. Other columns are ignored.
@@ -36,78 +35,133 @@ from .common import fresh_path, open_fs, stage
 from .tokenizing import encoder
 
 BLOCK = 2048
-#: Ids in a shard: 2048 lanes, whose model tables take 24 MB.
+#: Ids in a shard: 2048 lanes, whose model tables take 26 MB.
 SHARD_IDS = 2048 * BLOCK
-MAGIC = b"CMRC1\0\0\0"
-_ONE1, _ONE2 = 10, 11  # log2 of the slots of the order-1 and order-2 tables
+MAGIC = b"CMRC2\0\0\0"
+_ONE, _TWO = 11, 11  # log2 of the slots of the order-1 table, one for each id of a block, and of the order-2 table
 _ID_BITS = 20
 _MASK = (1 << _ID_BITS) - 1
+#: A table entry is the number of an id and, above these bits, how sure it is (0: empty, to 7).
+_NUMBER_BITS = 11
+_NUMBER = (1 << _NUMBER_BITS) - 1
+#: BLOCK counts are summed by 8, these by 16, and 16 such sums are the total: whom row g of _BELOW16 or _BELOW8 counts in.
+_BELOW16, _BELOW8 = np.tri(16, 16, -1, np.int16), np.tri(8, 8, -1, np.int16)
 
 
 class _Lanes:
-    """Model state of all lanes; probabilities and the update are shared by coder and decoder."""
+    """Model state of all lanes. Ids are numbers in the block (see _numbered); update() and predict() serve coder and decoder."""
 
     def __init__(self, lanes: int):
-        self.n = lanes
         lane = np.arange(lanes)
-        self.t1 = np.zeros(lanes << _ONE1, np.int32)
-        self.t2 = np.zeros(lanes << _ONE2, np.int32)
-        self.at1, self.at2, self.by4, self.by8 = lane << _ONE1, lane << _ONE2, lane * 4, lane * 8
-        self.a2 = np.full(lanes * 4, 0.3)
+        self.t1 = np.zeros(lanes << _ONE, np.int16)
+        self.t2 = np.zeros(lanes << _TWO, np.int16)
+        self.count, self.by_8, self.by_128 = (np.zeros(lanes * BLOCK // k, np.int16) for k in (1, 8, 128))
+        self.at1, self.at2, self.at0, self.by8 = lane << _ONE, lane << _TWO, lane * BLOCK, lane * 8
+        self.a2 = np.full(lanes * 8, 0.4)
         self.a1 = np.full(lanes * 8, 0.3)
-        self.a0 = np.full(lanes, 0.2)
-        self.b1 = np.full(lanes * 4, 0.2)
+        self.new = np.full(lanes, 0.95)
         self.w2, self.w1, self.w0 = (np.full(lanes, x) for x in (0.4, 0.3, 0.3))
         self.prev1 = np.zeros(lanes, np.int64)
         self.prev2 = np.zeros(lanes, np.int64)
+        self.seen = np.zeros(lanes, np.int64)
+        self.steps = 0
 
     def predict(self) -> None:
         last = self.prev1
-        self.i1 = self.at1 + (last * 40503 >> 4 & (1 << _ONE1) - 1)
-        self.i2 = self.at2 + (self.prev2 * 48271 + last * 2654435 >> 5 & (1 << _ONE2) - 1)
+        self.i1 = self.at1 + last
+        self.i2 = self.at2 + (self.prev2 * 48271 + last * 2654435 >> 5 & (1 << _TWO) - 1)
         v1, v2 = self.t1[self.i1], self.t2[self.i2]
-        self.p1, self.p2, self.c1, self.c2 = v1 & _MASK, v2 & _MASK, v1 >> _ID_BITS, v2 >> _ID_BITS
+        self.p1, self.p2, self.c1, self.c2 = v1 & _NUMBER, v2 & _NUMBER, v1 >> _NUMBER_BITS, v2 >> _NUMBER_BITS
         self.same = self.p1 == self.p2
-        self.x2, self.y1 = self.by4 + self.c2, self.by4 + self.c1
-        self.x1 = self.by8 + (self.c1 * 2 + self.same)
-        self.e2, self.e1, self.f1 = self.a2[self.x2], self.a1[self.x1], self.b1[self.y1]
-        p = self.w2 * self.e2 + self.w1 * self.e1 + self.w0 * self.a0
-        self.q2 = np.maximum((p * 60000).astype(np.int64), 64)
-        self.q1 = np.where(self.same, 0, (self.f1 * (65000 - self.q2)).astype(np.int64) + 16)
-
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        sign = hit2 * 2.0 - 1.0
-        lose = 1.0 - hit2
-        s2 = self.w2 * (self.e2 * sign + lose)
-        s1 = self.w1 * (self.e1 * sign + lose)
-        scale = 0.97 / (s2 + s1 + self.w0 * (self.a0 * sign + lose))
+        self.x2, self.x1 = self.by8 + self.c2, self.by8 + self.c1
+        self.e2, self.e1 = self.a2[self.x2], self.a1[self.x1]
+        share = (1 - self.new) / max(self.steps, 1)
+        self.m2 = self.count[self.at0 + self.p2] * share
+        self.m1 = self.count[self.at0 + self.p1] * share * ~self.same
+        g2, g1 = self.w2 * self.e2, self.w1 * self.e1
+        rest = 1 - g2 - g1
+        shared = g1 * self.same
+        self.q2 = ((g2 + shared + rest * self.m2) * 65300).astype(np.int64) + 16
+        self.q1 = ((g1 - shared + rest * self.m1) * 65300).astype(np.int64) + 16
+        self.qn = (rest * self.new * 65300).astype(np.int64) + 16
+
+    def _add(self, at: np.ndarray, n) -> None:
+        """n to the counts at places of all lanes' counts, none twice."""
+        self.count[at] += n
+        self.by_8[at >> 3] += n
+        self.by_128[at >> 7] += n
+
+    def place(self, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, width) of ids x in the counts of lanes at."""
+        k = self.at0[at] + x
+        below = (np.einsum("ij,ij->i", self.by_128.reshape(-1, 16)[at], _BELOW16[x >> 7])
+                 + np.einsum("ij,ij->i", self.by_8.reshape(-1, 16)[k >> 7], _BELOW16[x >> 3 & 15])
+                 + np.einsum("ij,ij->i", self.count.reshape(-1, 8)[k >> 3], _BELOW8[x & 7]))
+        return below, self.count[k]
+
+    def find(self, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(id, start, width) of the ids that hold value in the counts of lanes at."""
+        every, left, k = np.arange(len(at)), value.astype(np.int16), at
+        for sums in (self.by_128.reshape(-1, 16), self.by_8.reshape(-1, 16), self.count.reshape(-1, 8)):
+            row = sums[k]
+            ends = np.cumsum(row, axis=1, dtype=np.int16)
+            g = np.minimum(np.add.reduce(ends <= left[:, None], axis=1), sums.shape[1] - 1)
+            left = left - ends[every, g] + row[every, g]
+            k = k * sums.shape[1] + g
+        return k - self.at0[at], value - left, self.count[k]
+
+    def update(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> None:
+        """hit1: order 1 guessed x and order 2 did not; new: x is a new id."""
+        lit = ~(hit2 | hit1)
+        held = hit1 | (hit2 & self.same)
+        zero = np.where(lit, 1.0, np.where(hit2, self.m2, self.m1))
+        s2 = self.w2 * ((1 - self.e2) * zero + hit2 * self.e2)
+        s1 = self.w1 * ((1 - self.e1) * zero + held * self.e1)
+        scale = 0.97 / (s2 + s1 + self.w0 * zero)
         self.w2, self.w1 = s2 * scale + 0.01, s1 * scale + 0.01
         self.w0 = 1 - self.w2 - self.w1
-        to = hit2 * 0.998 + 0.001
-        self.a2[self.x2] = self.e2 + (to - self.e2) * 0.06
-        self.a1[self.x1] = self.e1 + (to - self.e1) * 0.06
-        self.a0 += (to - self.a0) * 0.03
-        self.b1[self.y1] = self.f1 + (hit1 * 0.998 + 0.001 - self.f1) * (0.06 * ~(hit2 | self.same))
-        for table, at, guess, sure in ((self.t1, self.i1, self.p1, self.c1), (self.t2, self.i2, self.p2, self.c2)):
-            right = guess == ids
-            keep = right | (sure > 1)
-            level = np.where(right, np.minimum(sure + 1, 3), sure >> 1)
-            table[at] = np.where(keep, level << _ID_BITS | guess, ids)
-        self.prev2, self.prev1 = self.prev1, ids
-
-
-#: log2 of the total of the order-0 table.
+        self.a2[self.x2] = self.e2 + (hit2 * 0.998 + 0.001 - self.e2) * 0.06
+        self.a1[self.x1] = self.e1 + (held * 0.998 + 0.001 - self.e1) * 0.06
+        self.new += (new * 0.998 + 0.001 - self.new) * max(0.02, 1 / (self.steps + 4))
+        for table, at, guess, sure, right in ((self.t1, self.i1, self.p1, self.c1, held), (self.t2, self.i2, self.p2, self.c2, hit2)):
+            level = np.where(right, np.minimum(sure + 1, 7), sure >> 1)
+            table[at] = np.where(right | (sure > 2), level << _NUMBER_BITS | guess, 1 << _NUMBER_BITS | x)
+        self._add(self.at0 + x, 1)
+        self.prev2, self.prev1 = self.prev1, x
+        self.seen += new
+        self.steps += 1
+
+
+#: log2 of the total of the prior of new ids.
 _TOTAL = 24
 
 
-def _cumulative(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Start of each found id in [0, 2**24), and the end; every id has a width of at least one."""
-    room = (1 << _TOTAL) - len(found)
-    width = counts.astype(np.int64) * room // max(1, int(counts.sum())) + 1
-    width[np.argmax(width)] += (1 << _TOTAL) - int(width.sum())
+def _prior(ids: int) -> np.ndarray:
+    """Starts of the ids in [0, 2**24), and the end, of the prior of new ids: it falls as 1 / (id + 512)."""
+    weight = (1 << 31) // (np.arange(ids, dtype=np.int64) + 512)
+    width = weight * ((1 << _TOTAL) - ids) // int(weight.sum()) + 1
+    width[0] += (1 << _TOTAL) - int(width.sum())
     return np.concatenate([[0], np.cumsum(width)])
 
 
+def _numbered(grid: np.ndarray) -> np.ndarray:
+    """Ids of blocks (one block a row) as numbers in the order in which their block first uses them."""
+    grid = grid.astype(np.uint16 if grid.max() < 1 << 16 else np.uint32)
+    lane = np.arange(len(grid))[:, None] * BLOCK
+    order = np.argsort(grid, axis=1, kind="stable")  # equal ids together, the first use first
+    ids = np.take_along_axis(grid, order, axis=1)
+    begins = np.ones(grid.shape, bool)
+    begins[:, 1:] = ids[:, 1:] != ids[:, :-1]
+    order += lane
+    firsts = order[begins]
+    is_first = np.zeros(grid.size, np.int32)
+    is_first[firsts] = 1
+    number = np.cumsum(is_first.reshape(grid.shape), axis=1, dtype=np.int32).ravel() - 1
+    out = np.empty(grid.size, np.int64)
+    out[order.ravel()] = number[firsts][np.cumsum(begins.ravel()) - 1]
+    return out.reshape(grid.shape)
+
+
 _U = np.uint64
 
 
@@ -135,56 +189,58 @@ class _Writer:
         return np.concatenate(self.words)[np.argsort(lane, kind="stable")], np.bincount(lane, minlength=len(self.low))
 
 
-def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray, np.ndarray]:
-    """(words, words per block, crc32 per block, ids found, their counts) of a one-dimensional id array."""
+def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int], int]:
+    """(words, words per block, crc32 per block, number above all ids) of a one-dimensional id array."""
     if not len(ids):
-        return np.zeros(0, np.uint32), np.zeros(0, np.int64), [], np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
     if int(ids.max()) > _MASK:
         raise ValueError("an id is beyond 20 bits")
-    n = -(-len(ids) // BLOCK)
+    n, above = -(-len(ids) // BLOCK), int(ids.max()) + 1
     checks = [zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u4").tobytes()) for k in range(n)]
-    found, rank, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    cum = _cumulative(found, counts)
-
-    def lanes(a: np.ndarray) -> np.ndarray:
-        """One row per step; the padding of the last block is coded and dropped on reading."""
-        grid = np.zeros(n * BLOCK, np.int64)
-        grid[: len(a)] = a
-        return np.ascontiguousarray(grid.reshape(n, BLOCK).T[: min(BLOCK, len(a))])
-
-    grid = lanes(ids)
-    begins, widths = lanes(cum[rank]).astype(_U), np.maximum(lanes(cum[rank + 1]) - lanes(cum[rank]), 1).astype(_U)
+    prior = _prior(above)
+    flat = np.zeros(n * BLOCK, np.int64)  # the padding of the last block is coded and dropped on reading
+    flat[: len(ids)] = ids
+    blocks = flat.reshape(n, BLOCK)
+    steps = min(BLOCK, len(ids))
+    by_step = lambda a: np.ascontiguousarray(a.T[:steps])
     model, out = _Lanes(n), _Writer(n)
-    for x, begin, width in zip(grid, begins, widths):
+    for x, raw in zip(by_step(_numbered(blocks)), by_step(blocks)):
         model.predict()
-        hit2 = x == model.p2
-        hit1 = ~hit2 & (x == model.p1)
-        q12 = model.q2 + model.q1
-        lit = ~(hit2 | hit1)
-        start = np.where(hit2, 0, np.where(hit1, model.q2, q12))
-        size = np.where(hit2, model.q2, np.where(hit1, model.q1, 65536 - q12))
+        new = x == model.seen
+        hit2 = ~new & (x == model.p2)
+        hit1 = ~new & ~hit2 & (x == model.p1)
+        upto1 = model.q2 + model.q1
+        upton = upto1 + model.qn
+        start = np.where(hit2, 0, np.where(hit1, model.q2, np.where(new, upto1, upton)))
+        size = np.where(hit2, model.q2, np.where(hit1, model.q1, np.where(new, model.qn, 65536 - upton)))
         unit = out.range >> _U(16)
         out.low += unit * start.astype(_U)
         out.range = unit * size.astype(_U)
         out.renew()
-        at = np.nonzero(lit)[0]
+        at = np.nonzero(new)[0]
         if len(at):
+            begin = prior[raw[at]]
             unit = out.range[at] >> _U(_TOTAL)
-            out.low[at] += unit * begin[at]
-            out.range[at] = unit * width[at]
-            out.renew()
-        model.update(x, hit2, hit1)
+            out.low[at] += unit * begin.astype(_U)
+            out.range[at] = unit * (prior[raw[at] + 1] - begin).astype(_U)
+        at = np.nonzero(~(new | hit2 | hit1))[0]
+        if len(at):
+            begin, width = model.place(at, x[at])
+            unit = out.range[at] // _U(model.steps)
+            out.low[at] += unit * begin.astype(_U)
+            out.range[at] = unit * width.astype(_U)
+        out.renew()
+        model.update(x, hit2, hit1, new)
     words, sizes = out.done()
-    return words, sizes, checks, found, counts
+    return words, sizes, checks, above
 
 
-def unpack(words, sizes, checks, found, counts, count: int) -> np.ndarray:
+def unpack(words, sizes, checks, above: int, count: int) -> np.ndarray:
     """The ids that pack() got; a block that fails its checksum is an error."""
     if not count:
         return np.zeros(0, np.uint32)
     n = len(sizes)
-    cum = _cumulative(found, counts)
-    begins, widths, found = cum[:-1].astype(_U), np.diff(cum).astype(_U), found.astype(np.int64)
+    prior = _prior(above)
     words = np.concatenate([words, np.zeros(4, np.uint32)]).astype(_U)
     ends = np.cumsum(sizes)
     at = ends - sizes
@@ -208,30 +264,41 @@ def unpack(words, sizes, checks, found, counts, count: int) -> np.ndarray:
             low[w], span[w] = lo << _U(32), sp << _U(32)
 
     model = _Lanes(n)
-    grid = np.zeros((min(BLOCK, count), n), np.int64)
+    names = np.zeros(n * BLOCK, np.uint32)  # ids by block and number
+    grid = np.zeros((min(BLOCK, count), n), np.uint32)
     for row in grid:
         model.predict()
         unit = span >> _U(16)
         value = np.minimum((code - low) // unit, _U(65535)).astype(np.int64)
-        q12 = model.q2 + model.q1
+        upto1 = model.q2 + model.q1
+        upton = upto1 + model.qn
         hit2 = value < model.q2
-        hit1 = ~hit2 & (value < q12)
-        lit = ~(hit2 | hit1)
-        low += unit * np.where(hit2, 0, np.where(hit1, model.q2, q12)).astype(_U)
-        span = unit * np.where(hit2, model.q2, np.where(hit1, model.q1, 65536 - q12)).astype(_U)
+        hit1 = ~hit2 & (value < upto1)
+        new = (value >= upto1) & (value < upton)
+        low += unit * np.where(hit2, 0, np.where(hit1, model.q2, np.where(new, upto1, upton))).astype(_U)
+        span = unit * np.where(hit2, model.q2, np.where(hit1, model.q1, np.where(new, model.qn, 65536 - upton))).astype(_U)
         renew()
         x = np.where(hit2, model.p2, model.p1).astype(np.int64)
-        w = np.nonzero(lit)[0]
+        w = np.nonzero(new)[0]
         if len(w):
+            x[w] = np.minimum(model.seen[w], BLOCK - 1)
             unit = span[w] >> _U(_TOTAL)
-            value = np.minimum((code[w] - low[w]) // unit, _U((1 << _TOTAL) - 1))
-            k = np.searchsorted(begins, value, side="right") - 1
-            low[w] += unit * begins[k]
-            span[w] = unit * widths[k]
-            renew()
-            x[w] = found[k]
-        row[:] = x
-        model.update(x, hit2, hit1)
+            value = np.minimum((code[w] - low[w]) // unit, _U((1 << _TOTAL) - 1)).astype(np.int64)
+            k = np.searchsorted(prior, value, side="right") - 1
+            names[w * BLOCK + x[w]] = k
+            low[w] += unit * prior[k].astype(_U)
+            span[w] = unit * (prior[k + 1] - prior[k]).astype(_U)
+        w = np.nonzero(~(new | hit2 | hit1))[0]
+        if len(w):
+            total = max(model.steps, 1)  # damaged words may ask where nothing is
+            unit = span[w] // _U(total)
+            value = np.minimum((code[w] - low[w]) // unit, _U(total - 1)).astype(np.int64)
+            x[w], begin, width = model.find(w, value)
+            low[w] += unit * begin.astype(_U)
+            span[w] = unit * np.maximum(width, 1).astype(_U)
+        renew()
+        row[:] = names[model.at0 + x]
+        model.update(x, hit2, hit1, new)
     full = np.zeros((BLOCK, n), np.uint32)
     full[: len(grid)] = grid
     ids = np.ascontiguousarray(full.T).ravel()[:count]
@@ -242,12 +309,11 @@ def unpack(words, sizes, checks, found, counts, count: int) -> np.ndarray:
 
 
 def write_shard(out, doc_ids: list, counts: list[int], ids: np.ndarray) -> None:
-    words, sizes, checks, found, often = pack(ids)
-    out.write(MAGIC + struct.pack("<IQQIIQ", len(found), len(doc_ids), len(ids), len(sizes), BLOCK, len(words)))
+    words, sizes, checks, above = pack(ids)
+    out.write(MAGIC + struct.pack("<IQQIIQ", above, len(doc_ids), len(ids), len(sizes), BLOCK, len(words)))
     out.write(np.asarray([0 if d is None else d for d in doc_ids], "<i8").tobytes())
     out.write(np.asarray([d is None for d in doc_ids], "u1").tobytes())
     out.write(np.asarray(counts, "<u8").tobytes())
-    out.write(found.astype("<u4").tobytes() + often.astype("<u4").tobytes())
     out.write(np.asarray(sizes, "<u4").tobytes() + np.asarray(checks, "<u4").tobytes() + words.astype("<u4").tobytes())
 
 
@@ -255,7 +321,7 @@ def read_shard(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     """(doc_ids, ids per document, all ids)"""
     if data[:8] != MAGIC:
         raise ValueError("not a token file")
-    n_found, docs, count, blocks, block, n_words = struct.unpack_from("<IQQIIQ", data, 8)
+    above, docs, count, blocks, block, n_words = struct.unpack_from("<IQQIIQ", data, 8)
     if block != BLOCK:
         raise ValueError("another block size")
     at = 8 + struct.calcsize("<IQQIIQ")
@@ -265,9 +331,8 @@ def read_shard(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
         at += got.nbytes
         return got
     keys, nulls, counts = take("<i8", docs), take("u1", docs), take("<u8", docs)
-    found, often = take("<u4", n_found), take("<u4", n_found)
     sizes, checks, words = take("<u4", blocks), take("<u4", blocks), take("<u4", n_words)
-    ids = unpack(words, sizes.astype(np.int64), [int(c) for c in checks], found, often, count)
+    ids = unpack(words, sizes.astype(np.int64), [int(c) for c in checks], above, count)
     return [None if z else int(k) for k, z in zip(keys, nulls)], counts.astype(np.int64), ids
 
 

@@ -46,16 +46,26 @@ def test_encoder_equals_library(name):
 @given(st.lists(st.integers(0, (1 << 20) - 1), max_size=300), st.integers(1, 40))
 def test_coder_round_trip(ids, repeat):
     a = np.array(ids * repeat, np.uint32)
-    words, sizes, checks, found, counts = token_coder.pack(a)
-    assert (token_coder.unpack(words, sizes, checks, found, counts, len(a)) == a).all()
+    words, sizes, checks, above = token_coder.pack(a)
+    assert (token_coder.unpack(words, sizes, checks, above, len(a)) == a).all()
 
 
 def test_coder_rejects_damage():
     a = np.arange(5000, dtype=np.uint32) % 977
-    words, sizes, checks, found, counts = token_coder.pack(a)
+    words, sizes, checks, above = token_coder.pack(a)
     words[3] ^= 1
     with pytest.raises(ValueError):
-        token_coder.unpack(words, sizes, checks, found, counts, len(a))
+        token_coder.unpack(words, sizes, checks, above, len(a))
+
+
+def test_blocks_are_coded_independently():
+    rng = np.random.default_rng(3)
+    a = (rng.zipf(1.3, 3 * token_coder.BLOCK) % 900).astype(np.uint32)
+    a[:: token_coder.BLOCK] = 900  # the number above all ids is a parameter of the file
+    words, sizes, _, _ = token_coder.pack(a)
+    alone = [token_coder.pack(a[k : k + token_coder.BLOCK])[0].tolist() for k in range(0, len(a), token_coder.BLOCK)]
+    assert [x.tolist() for x in np.split(words, np.cumsum(sizes)[:-1])] == alone
+    assert token_coder.pack(np.full(4096, 7, np.uint32))[0].nbytes < 200  # order 2 learns within a block
 
 
 def test_token_files(spark):
