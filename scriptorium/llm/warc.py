@@ -1,7 +1,7 @@
 """Operator 4: a deterministic sharded WARC writer, and its reader.
 
 Records are range-sorted by page_id into shards whose bounds depend on the data alone (a histogram of
-ids, not a sample). Each shard rolls to a new file when its compressed size passes a limit. Headers,
+ids, not a sample, whose heavy cells are split until they are light or one id). Each shard rolls to a new file when its compressed size passes a limit. Headers,
 record ids, lengths and digests are regenerated, and the date is a parameter, so equal input gives
 equal bytes. Files are written under temporary names that no other attempt uses; the driver renames
 those the manifest lists and then writes the manifest. A reader trusts the manifest only.
@@ -9,7 +9,8 @@ those the manifest lists and then writes the manifest. A reader trusts the manif
 Of records with equal payloads of at least `revisit_from` bytes, that with the largest page_id is a
 response and the others are revisits of it; smaller payloads are all responses. Rows that repeat
 the largest page_id itself are all responses. Payloads are compared by SHA-1, groups are reduced to
-one row per digest before any join, and payloads travel compressed.
+one row per digest before any join, and payloads travel compressed. Record ids follow from page_id,
+digest and, of rows equal in both, the place among them.
 
 Null html is an empty payload, a null url an empty target. A null page_id sorts first; it is a response
 only where all ids of its group are null. An empty table writes no file. Other columns are ignored.
@@ -22,18 +23,23 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, hadoop, open_fs, stage
+from .common import fresh_path, hadoop, open_fs, stage, unstage
 
 DATE = "2020-01-01T00:00:00Z"
 ROLL_BYTES = 64 << 20
 #: Uncompressed payload bytes per shard, and cells of the histogram that bounds shards.
 SHARD_BYTES = 32 << 20
 CELLS = 4096
+#: Parts of a heavy cell.
+SPLIT = 64
 
 
 def decide(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
@@ -45,33 +51,63 @@ def decide(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
         ~F.col("page_id").eqNullSafe(F.col("keeper"))).select("page_id", "sha1", "keeper").distinct()
 
 
-def _bounds(pages: DataFrame) -> tuple[list[int], int]:
-    """Upper bounds of the shards but the last, from exact bytes in equal cells of the id range."""
-    low, high, total = pages.agg(F.min("page_id"), F.max("page_id"), F.sum(F.coalesce(F.length("html"), F.lit(0)) + 600)).first()
+def _split(sizes: DataFrame, wide: list[tuple[int, int, int]], parts: int) -> list[tuple[int, int, int]]:
+    """(first id, last id, bytes) of the parts that hold rows, of the cells in wide, which ascend."""
+    first, last = (np.array([c[k] for c in wide], np.int64) for k in (0, 1))
+    step = np.array([-(-(c[1] - c[0] + 1) // parts) for c in wide], np.uint64)
+
+    @F.pandas_udf("long")
+    def part(ids: pd.Series) -> pd.Series:
+        v = ids.to_numpy().astype(np.int64)
+        k = np.searchsorted(first, v, side="right") - 1
+        inside = (k >= 0) & (v <= last[k])
+        at = first[k].astype(np.uint64)
+        begin = at + (v.astype(np.uint64) - at) // step[k] * step[k]
+        return pd.Series(pd.arrays.IntegerArray(begin.astype(np.int64), ~inside))
+
+    found = sizes.select(part("page_id").alias("c"), "b").where("c IS NOT NULL").groupBy("c").agg(F.sum("b").alias("b")).collect()
+    out = []
+    for c, b in sorted((r["c"], r["b"]) for r in found):  # at most parts rows a cell
+        k = int(np.searchsorted(first, c, side="right")) - 1
+        out.append((c, min(c + int(step[k]) - 1, int(last[k])), b))
+    return out
+
+
+def _bounds(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[list[int], int]:
+    """Upper bounds of the shards but the last, and how many shards. No shard is twice the goal but for rows of one id."""
+    sizes = pages.where("page_id IS NOT NULL").select("page_id", (F.coalesce(F.length("html"), F.lit(0)) + 600).cast("long").alias("b"))
+    sizes = stage(sizes, "warc-sizes")
+    low, high, total = sizes.agg(F.min("page_id"), F.max("page_id"), F.sum("b")).first()
     if low is None:
         return [], 1
-    step = max(1, -(-(high - low + 1) // CELLS))
-    cells = pages.groupBy(F.expr(f"cast((page_id - {low}) div {step} as int)").alias("c")).agg(
-        F.sum(F.coalesce(F.length("html"), F.lit(0)) + 600).alias("b")).collect()  # CELLS rows at most
-    goal = max(SHARD_BYTES, total // CELLS)
+    goal = max(shard_bytes, -(-total // CELLS))
+    cells, parts = [(low, high, total)], CELLS
+    while wide := [c for c in cells if c[2] >= goal and c[1] > c[0]]:  # at most total / goal of them
+        heavy = set(wide)
+        cells = sorted([c for c in cells if c not in heavy] + _split(sizes, wide, parts))
+        parts = SPLIT
+    unstage(sizes)
     bounds, held = [], 0
-    for c, b in sorted((r["c"], r["b"]) for r in cells if r["c"] is not None):
+    for k, (_, last, b) in enumerate(cells):
+        if held and b >= goal:
+            bounds.append(cells[k - 1][1])
+            held = 0
         held += b
         if held >= goal:
-            bounds.append(low + (c + 1) * step - 1)
+            bounds.append(last)
             held = 0
     return bounds, len(bounds) + 1
 
 
-def record(page_id, url, payload: bytes, sha1: str, keeper, revisit: bool) -> bytes:
-    """One gzip member holding one WARC record."""
+def record(page_id, url, payload: bytes, sha1: str, keeper, revisit: bool, copy: int = 0) -> bytes:
+    """One gzip member holding one WARC record; copy counts rows of the same page_id and digest."""
     digest = "sha1:" + base64.b32encode(bytes.fromhex(sha1)).decode()
 
-    def name(p) -> str:
-        return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{p}')}>"
+    def name(p, k=0) -> str:
+        return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{p}:{sha1}:{k}')}>"
 
     body = b"" if revisit else payload
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {name(page_id)}",
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {name(page_id, copy)}",
              f"WARC-Date: {DATE}", "WARC-Target-URI: " + " ".join((url or "").split()),
              f"WARC-Payload-Digest: {digest}", "WARC-Block-Digest: sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode(),
              f"X-Page-ID: {'' if page_id is None else page_id}", f"X-Payload-Length: {len(payload)}"]
@@ -105,13 +141,13 @@ def write_warc(pages: DataFrame, out_dir: str, revisit_from: int = 0, roll_bytes
     seen = decide(pages, revisit_from)
     rows = small.join(seen.select("page_id", "sha1", "keeper", F.lit(True).alias("revisit")).withColumnRenamed("page_id", "p").withColumnRenamed("sha1", "s"),
                       F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha1") == F.col("s")), "left").drop("p", "s")
-    rows = rows.repartitionByRange(max(1, shards), "shard").sortWithinPartitions("shard", "page_id", "sha1", "url")
+    rows = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "page_id", "sha1", "url")
     temporary = f"{out_dir}/_temporary"
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = open_fs(temporary)
         fs.create_dir(base, recursive=True)
-        now = None
+        now, before, copy = None, None, 0
 
         def shut() -> pd.DataFrame:
             now["out"].close()
@@ -133,7 +169,9 @@ def write_warc(pages: DataFrame, out_dir: str, revisit_from: int = 0, roll_bytes
                            "out": fs.open_output_stream(f"{base}/{temp}", compression=None)}
                 page = None if page is None or page != page else int(page)
                 keeper = None if keeper is None or keeper != keeper else int(keeper)
-                data = record(page, url, zlib.decompress(body), sha1, keeper, revisit is True or revisit == 1)
+                copy = copy + 1 if before == (page, sha1) else 0
+                before = (page, sha1)
+                data = record(page, url, zlib.decompress(body), sha1, keeper, revisit is True or revisit == 1, copy)
                 now["out"].write(data)
                 now["sha"].update(data)
                 now["records"] += 1
@@ -145,9 +183,15 @@ def write_warc(pages: DataFrame, out_dir: str, revisit_from: int = 0, roll_bytes
     name = F.format_string("part-%06d-%05d.warc.gz", "shard", "seq")
     fs, _ = hadoop(spark, out_dir)
     path = spark._jvm.org.apache.hadoop.fs.Path
-    for r in manifest.select("temp", name.alias("name")).toLocalIterator():  # one row per file
+
+    def commit(r) -> None:
         if not fs.rename(path(f"{temporary}/{r['temp']}"), path(f"{out_dir}/{r['name']}")):
             raise OSError(f"cannot commit {r['name']}")
+
+    files = manifest.select("temp", name.alias("name")).toLocalIterator()  # one row per file
+    with ThreadPoolExecutor(16) as pool:
+        while some := list(islice(files, 1000)):
+            list(pool.map(commit, some))
     fs.delete(path(temporary), True)
     done = manifest.select("shard", "seq", name.alias("name"), "records", "bytes", "sha256")
     done.write.parquet(f"{out_dir}/_manifest")

@@ -197,6 +197,33 @@ def test_warc(spark, tmp_path):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_warc_shards_of_uneven_ids(spark):
+    rng = random.Random(11)
+    ids = [-(2**62), 2**62, 7, 7, 7, 7] + [rng.randrange(5000) for _ in range(400)]
+    pages = spark.createDataFrame([(p, "u", "x" * (40_000 if p == 7 else rng.randrange(900))) for p in ids], "page_id long, url string, html string")
+    bounds, shards = warc._bounds(pages, 20_000)
+    held = Counter()
+    for p, html in pages.select("page_id", "html").collect():
+        held[sum(b < p for b in bounds)] += len(html) + 600
+    hot = sum(b < 7 for b in bounds)
+    assert bounds == sorted(set(bounds)) and shards == len(bounds) + 1 > 15
+    assert all(v < 40_000 for k, v in held.items() if k != hot)
+    out = warc.archive(pages, 0).collect()
+    assert sorted(r["page_id"] for r in out) == sorted(ids)
+
+
+def test_warc_record_ids_are_unique(spark, tmp_path):
+    rows = [(1, "a", "x"), (1, "a", "x"), (1, "b", "y"), (2, "c", "x"), (2, "c", "z"), (None, "d", "z"), (None, "d", "z")]
+    manifest = warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), f"file://{tmp_path}/w")
+    heads = []
+    for r in manifest.collect():
+        with open(tmp_path / "w" / r["name"], "rb") as f:
+            heads += [h for h, _ in warc.read_records(f)]
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(ids) == len(set(ids)) == len(rows)
+    assert all(h["WARC-Refers-To"] in ids for h in heads if h["WARC-Type"] == "revisit")
+
+
 def test_packing(spark):
     rng = random.Random(5)
     texts = [prose(rng, rng.randrange(1, 500)) for _ in range(60)] + [prose(rng, 3000), "", None, "same", "same"]
