@@ -44,6 +44,9 @@ _MASK = (1 << _ID_BITS) - 1
 #: A table entry is the number of an id and, above these bits, how sure it is (0: empty, to 7).
 _NUMBER_BITS = 11
 _NUMBER = (1 << _NUMBER_BITS) - 1
+#: What an entry gains by a right guess, up to 7, and loses by a wrong one, which halves how sure it is.
+_SURER = np.array([1, 1, 1, 1, 1, 1, 1, 0], np.int16) << _NUMBER_BITS
+_LESS_SURE = np.array([k - k // 2 for k in range(8)], np.int16) << _NUMBER_BITS
 #: BLOCK counts are summed by 8, these by 16, and 16 such sums are the total: whom row g of _BELOW16 or _BELOW8 counts in.
 _BELOW16, _BELOW8 = np.tri(16, 16, -1, np.int16), np.tri(8, 8, -1, np.int16)
 
@@ -57,10 +60,10 @@ class _Lanes:
         self.t2 = np.zeros(lanes << _TWO, np.int16)
         self.count, self.by_8, self.by_128 = (np.zeros(lanes * BLOCK // k, np.int16) for k in (1, 8, 128))
         self.at1, self.at2, self.at0, self.by8 = lane << _ONE, lane << _TWO, lane * BLOCK, lane * 8
-        self.a2 = np.full(lanes * 8, 0.4)
-        self.a1 = np.full(lanes * 8, 0.3)
-        self.new = np.full(lanes, 0.95)
-        self.w2, self.w1, self.w0 = (np.full(lanes, x) for x in (0.4, 0.3, 0.3))
+        self.a2 = np.full(lanes * 8, 0.4, np.float32)
+        self.a1 = np.full(lanes * 8, 0.3, np.float32)
+        self.new = np.full(lanes, 0.95, np.float32)
+        self.w2, self.w1, self.w0 = (np.full(lanes, x, np.float32) for x in (0.4, 0.3, 0.3))
         self.prev1 = np.zeros(lanes, np.int64)
         self.prev2 = np.zeros(lanes, np.int64)
         self.seen = np.zeros(lanes, np.int64)
@@ -70,12 +73,12 @@ class _Lanes:
         last = self.prev1
         self.i1 = self.at1 + last
         self.i2 = self.at2 + (self.prev2 * 48271 + last * 2654435 >> 5 & (1 << _TWO) - 1)
-        v1, v2 = self.t1[self.i1], self.t2[self.i2]
+        v1, v2 = self.v1, self.v2 = self.t1[self.i1], self.t2[self.i2]
         self.p1, self.p2, self.c1, self.c2 = v1 & _NUMBER, v2 & _NUMBER, v1 >> _NUMBER_BITS, v2 >> _NUMBER_BITS
         self.same = self.p1 == self.p2
         self.x2, self.x1 = self.by8 + self.c2, self.by8 + self.c1
         self.e2, self.e1 = self.a2[self.x2], self.a1[self.x1]
-        share = (1 - self.new) / max(self.steps, 1)
+        share = (1 - self.new) * np.float32(1 / max(self.steps, 1))
         self.m2 = self.count[self.at0 + self.p2] * share
         self.m1 = self.count[self.at0 + self.p1] * share * ~self.same
         g2, g1 = self.w2 * self.e2, self.w1 * self.e1
@@ -112,20 +115,20 @@ class _Lanes:
 
     def update(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> None:
         """hit1: order 1 guessed x and order 2 did not; new: x is a new id."""
-        lit = ~(hit2 | hit1)
         held = hit1 | (hit2 & self.same)
-        zero = np.where(lit, 1.0, np.where(hit2, self.m2, self.m1))
-        s2 = self.w2 * ((1 - self.e2) * zero + hit2 * self.e2)
-        s1 = self.w1 * ((1 - self.e1) * zero + held * self.e1)
-        scale = 0.97 / (s2 + s1 + self.w0 * zero)
+        zero = np.where(hit2, self.m2, np.where(hit1, self.m1, _ONE32))
+        to2, to1 = hit2.astype(np.float32), held.astype(np.float32)
+        s2 = self.w2 * ((1 - self.e2) * zero + to2 * self.e2)
+        s1 = self.w1 * ((1 - self.e1) * zero + to1 * self.e1)
+        scale = np.float32(0.97) / (s2 + s1 + self.w0 * zero)
         self.w2, self.w1 = s2 * scale + 0.01, s1 * scale + 0.01
         self.w0 = 1 - self.w2 - self.w1
-        self.a2[self.x2] = self.e2 + (hit2 * 0.998 + 0.001 - self.e2) * 0.06
-        self.a1[self.x1] = self.e1 + (held * 0.998 + 0.001 - self.e1) * 0.06
-        self.new += (new * 0.998 + 0.001 - self.new) * max(0.02, 1 / (self.steps + 4))
-        for table, at, guess, sure, right in ((self.t1, self.i1, self.p1, self.c1, held), (self.t2, self.i2, self.p2, self.c2, hit2)):
-            level = np.where(right, np.minimum(sure + 1, 7), sure >> 1)
-            table[at] = np.where(right | (sure > 2), level << _NUMBER_BITS | guess, 1 << _NUMBER_BITS | x)
+        self.a2[self.x2] = self.e2 + (to2 * 0.998 + 0.001 - self.e2) * 0.06
+        self.a1[self.x1] = self.e1 + (to1 * 0.998 + 0.001 - self.e1) * 0.06
+        self.new += (new.astype(np.float32) * 0.998 + 0.001 - self.new) * max(0.02, 1 / (self.steps + 4))
+        fresh = x.astype(np.int16) | 1 << _NUMBER_BITS
+        for table, at, entry, sure, right in ((self.t1, self.i1, self.v1, self.c1, held), (self.t2, self.i2, self.v2, self.c2, hit2)):
+            table[at] = np.where(right, entry + _SURER[sure], np.where(sure > 2, entry - _LESS_SURE[sure], fresh))
         self._add(self.at0 + x, 1)
         self.prev2, self.prev1 = self.prev1, x
         self.seen += new
@@ -162,6 +165,7 @@ def _numbered(grid: np.ndarray) -> np.ndarray:
     return out.reshape(grid.shape)
 
 
+_ONE32 = np.float32(1)
 _U = np.uint64
 
 
