@@ -59,7 +59,10 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints that differ in 1 to radius bits; fps has a column fp without repeats."""
+    """Pairs (a, b) of distinct fingerprints that differ in 1 to radius bits; fps has a column fp without repeats.
+
+    Both joins are sort-merge joins: Spark takes the exploded index to be as small as the fingerprints and would broadcast it.
+    """
     parts = radius // 2 + 1
     width = -(-64 // parts)
     masks = []
@@ -69,7 +72,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     segment = F.element_at(F.array(*[F.lit(m).cast("long") for m in masks]), F.col("s") + 1).bitwiseAND(F.col("fp"))
     same = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("s")).select("fp", "s", segment.alias("v"))
-    exact = same.withColumnRenamed("fp", "a").join(same.withColumnRenamed("fp", "b"), ["s", "v"]).where(
+    exact = same.withColumnRenamed("fp", "a").hint("merge").join(same.withColumnRenamed("fp", "b"), ["s", "v"]).where(
         (F.col("a") < F.col("b")) & near).select("a", "b")
     bit = F.expr("shiftleft(1L, at)")
     variants = (
@@ -78,7 +81,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         .select("fp", "at", bit.bitwiseAND(F.col("fp")).alias("bit"), segment.bitwiseAND(F.bitwise_not(bit)).alias("v")))
     zero = variants.where("bit = 0").select(F.col("fp").alias("a"), "at", "v")
     one = variants.where("bit <> 0").select(F.col("fp").alias("b"), "at", "v")
-    wild = zero.join(one, ["at", "v"]).where(near).select("a", "b")
+    wild = zero.hint("merge").join(one, ["at", "v"]).where(near).select("a", "b")
     return exact.union(wild).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -401,6 +401,12 @@ def test_links_find_every_pair(spark, radius):
     assert got == want
 
 
+def test_links_never_broadcast_the_index(spark):
+    fps = common.stage(spark.range(50).select(F.xxhash64("id").alias("fp")), "few")  # small, and known to be so
+    plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def brute_lines(texts, least):
     seq = [(d, i, s) for d, t in enumerate(texts) if t is not None for i, s in enumerate(t.split("\n")) if s.strip()]
     gone = set()
