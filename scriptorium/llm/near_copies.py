@@ -1,14 +1,18 @@
 """Near copies: all pairs of texts whose sets of word shingles have a Jaccard similarity of at least t, exactly.
 
-Texts with equal shingle sets collapse to one set first (exact copies, other case or white space). Then, for a
-set of n shingles in any order common to all sets, a partner must share one of the first n - ceil(t n) + 1
-(prefix filter). The order puts shingles that are frequent in a sample of 1 / SAMPLE of the sets last, rarest
+Texts with equal shingle sets collapse to one set first (exact copies, other case or white space). SimHash comes next, as in
+operator 8: fingerprints, segments with one-bit wildcards, distance at most RADIUS. Of the texts of one fingerprint each is
+held against one, its centre, and the centres of linked fingerprints against each other; shingle sets decide, so equal
+fingerprints alone lose no text. What that makes one component is not looked at again.
+
+The radius cannot reach every pair, so the rest is found exactly: for a set of n shingles in any order common to all sets,
+a partner must share one of the first n - ceil(t n) + 1 (prefix filter). The order puts shingles that are frequent in a sample of 1 / SAMPLE of the sets last, rarest
 first; the sample decides only the order, never which pairs are found. Two bounds that lose no pair thin
 the candidates: the sizes, and the distance of parity maps, which is at most the size of the symmetric difference
 (512 bits inside the join, 8192 after it). Shingle sets of the remaining pairs are compared.
 
-Each group that shares a prefix shingle is first held against one member, its centre. Pairs that are then in
-one component are not looked at again; all others are. Groups whose members are similar, but below t, still
+Each group that shares a prefix shingle is first held against one member, its centre, where SimHash has not joined them.
+Pairs that are then in one component are not looked at again; all others are. Groups whose members are similar, but below t, still
 compare all pairs in the join.
 
 Null, empty and blank texts have one empty shingle and are copies of each other; fewer words than a shingle
@@ -27,8 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_words, connected_components, release_shuffles, sieve, stage, text_hash, unstage, unused, without
+from .simhash import fingerprint, links
 
 SAMPLE, COMMON_ROWS, MAPS, WIDE = 32, 500_000, 8, 8192
+#: Two segments reach three bits as they reach operator 8's two.
+RADIUS = 3
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -52,18 +59,18 @@ def _parity(s: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, th, g (hash of the set), sample: the shingles of sampled sets, else null."""
+    """doc_id, th, g (hash of the set), fp (SimHash fingerprint), sample: the shingles of sampled sets, else null."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            g, sample = np.zeros(len(batch), np.uint64), []
+            g, fp, sample = np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.uint64), []
             for i, t in enumerate(batch["text"].tolist()):
                 s = shingle_set(t, words)
-                g[i] = xxhash.xxh64_intdigest(s.tobytes())
+                g[i], fp[i] = xxhash.xxh64_intdigest(s.tobytes()), fingerprint(t)
                 sample.append(s.view(np.int64) if g[i] % np.uint64(SAMPLE) == 0 else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "th": batch["th"], "g": g.view(np.int64), "sample": sample})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "th": batch["th"], "g": g.view(np.int64), "fp": fp.view(np.int64), "sample": sample})
 
-    return docs.select("doc_id", text_hash().alias("th"), "text").mapInPandas(make, "doc_id long, th long, g long, sample array<long>")
+    return docs.select("doc_id", text_hash().alias("th"), "text").mapInPandas(make, "doc_id long, th long, g long, fp long, sample array<long>")
 
 
 def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -141,6 +148,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, words: int
     return sure
 
 
+def by_fingerprint(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs a < b of sets of distinct(g, fp) that SimHash proposes: a star for each fingerprint, and the centres of linked ones."""
+    each = distinct.select("fp", "g")
+    stars = stage(each.groupBy("fp").agg(F.min("g").alias("centre")), "near-fp")
+    far = stage(links(stars.select("fp"), radius), "near-fp-links")
+    one, two = stars.toDF("a", "x"), stars.toDF("b", "y")
+    linked = far.join(one, "a").join(two, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    same = each.join(stars, "fp").where("g <> centre").select(F.col("centre").alias("a"), F.col("g").alias("b"))
+    return linked.union(same)
+
+
 def superfluous(docs: DataFrame, words: int, similarity: float, broadcast_rows: int = 200_000) -> DataFrame:
     """(doc_id, th) of documents that a near copy with a smaller (doc_id, th) replaces.
 
@@ -148,16 +166,22 @@ def superfluous(docs: DataFrame, words: int, similarity: float, broadcast_rows:
     """
     spark = docs.sparkSession
     full = stage(_sets(docs, words), "near-sets")
-    rows = stage(full.drop("sample"), "near-rows")
+    rows = stage(full.drop("sample", "fp"), "near-rows")
     common = _common(full)
+    distinct = full.groupBy("g").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.min("fp").alias("fp"))
+    distinct = stage(distinct, "near-distinct")
     unstage(full)
-    distinct = stage(rows.groupBy("g").agg(F.min(F.struct("doc_id", "th")).alias("rep")), "near-distinct")
+    alike = stage(by_fingerprint(distinct), "near-alike")
+    alike = _verified(alike, docs, distinct, words, similarity, broadcast_rows)
+    joined = connected_components(alike).withColumnRenamed("node", "g")
+    release_shuffles(spark)
     firsts = stage(_prefixes(docs, words, similarity, common), "near-prefixes")
     each = firsts.select("g", F.explode("prefix").alias("h"))
     shared = each.groupBy("h").agg(F.min("g").alias("centre"), F.max("g").alias("last")).where("centre < last").select("h", "centre")
     shared = stage(shared, "near-shared")
     release_shuffles(spark)
-    keys = stage(each.join(shared.select("h"), "h").distinct(), "near-keys")
+    keys = each.join(shared.select("h"), "h").distinct().join(joined, "g", "left")
+    keys = stage(keys.withColumn("component", F.coalesce("component", "g")), "near-keys")
     about = stage(firsts.drop("prefix").join(keys.select("g").distinct(), "g").distinct(), "near-about")
     unstage(firsts)
     release_shuffles(spark)
@@ -169,16 +193,17 @@ def superfluous(docs: DataFrame, words: int, similarity: float, broadcast_rows:
         found = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.g") < F.col("y.g")) & other & near)
         return stage(found.select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct(), label)
 
-    centres = shared.withColumnRenamed("centre", "g").join(about, "g")
-    stars = pairs_of(centres, keys.join(about, "g"), F.lit(True), "near-stars")
-    sure = _verified(stars, docs, distinct, words, similarity, broadcast_rows)
+    unjoined = F.col("x.component") != F.col("y.component")
+    centres = shared.withColumnRenamed("centre", "g").join(about, "g").join(joined, "g", "left")
+    stars = pairs_of(centres.withColumn("component", F.coalesce("component", "g")), keys.join(about, "g"), unjoined, "near-stars")
+    sure = alike.union(_verified(stars, docs, distinct, words, similarity, broadcast_rows))
     comps = connected_components(sure).withColumnRenamed("node", "g")
-    named = keys.join(comps, "g", "left").withColumn("component", F.coalesce("component", "g"))
+    named = keys.drop("component").join(comps, "g", "left").withColumn("component", F.coalesce("component", "g"))
     open_keys = named.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
     members = stage(named.join(open_keys, "h").join(about, "g"), "near-open")
     unstage(keys, about, shared)
     release_shuffles(spark)
-    pairs = pairs_of(members, members, F.col("x.component") != F.col("y.component"), "near-pairs")
+    pairs = pairs_of(members, members, unjoined, "near-pairs")
     unstage(members)
     pairs = pairs.join(stars, ["a", "b"], "left_anti")
     more = _verified(stage(pairs, "near-rest"), docs, distinct, words, similarity, broadcast_rows)

@@ -531,6 +531,27 @@ def test_pipeline_near_stage_finds_every_pair(spark, monkeypatch):
     assert cp.near(spark, d.limit(0), "").count() == 0
 
 
+def test_pipeline_near_stage_goes_by_simhash(spark, monkeypatch):
+    """Copies within the radius are found by fingerprints; the prefix filter gets no pair that they have joined."""
+    import corpus_pipeline as cp
+    from scriptorium.llm import near_copies
+
+    rng = random.Random(33)
+    base = [prose(rng, 1500, 10**5) for _ in range(4)]
+    texts = [*base, *[edited(rng, t, 1) for t in base], *[edited(rng, t, 1) for t in base], prose(rng, 80)]
+    fps = [simhash.fingerprint(t) for t in texts]
+    want = {(i, j) for j in range(13) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= near_copies.RADIUS}
+    assert len(want) >= 8
+    sets = spark.createDataFrame([(k, f - (1 << 64) if f >> 63 else f) for k, f in enumerate(fps)], "g long, fp long")
+    proposed = {(r["a"], r["b"]) for r in near_copies.by_fingerprint(sets).collect()}
+    assert proposed <= want and common.connected_components(near_copies.by_fingerprint(sets)).count() == len({x for p in want for x in p})
+    seen, verified = [], near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *a: seen.append({(r["a"], r["b"]) for r in pairs.collect()}) or verified(pairs, *a))
+    d = docs(spark, texts).select("doc_id", "text", "lang", "source", "n_chars")
+    assert sorted(r["doc_id"] for r in cp.near(spark, d, "").collect()) == brute_near(texts) == [0, 1, 2, 3, 12]
+    assert len(seen) == 3 and len(seen[0]) == len(proposed) and not seen[0] & (seen[1] | seen[2])
+
+
 def test_pipeline_near_stage_keeps_texts_of_equal_fingerprints(spark):
     import corpus_pipeline as cp
 
