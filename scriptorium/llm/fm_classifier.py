@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hold
+
 WORD_BITS = 15
 SAMPLE = 6000
 RANK, EPOCHS, RATE, BATCH = 8, 12, 0.08, 64
@@ -56,6 +58,11 @@ class _Buckets(dict):
 _BUCKETS = _Buckets()
 
 
+def _own() -> None:
+    """This module's tasks share the buckets. Workers get tasks' functions by value, and this one by name."""
+    hold("buckets", _BUCKETS.clear)
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Sparse features of a text: indices and values."""
     raw = (text or "").encode("utf-8")
@@ -138,6 +145,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
 def sample_features(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> tuple[list, np.ndarray]:
     """Features and labels of the texts of at most `sample` rows of marks(doc_id, label), the least by a hash: fit bound of the model."""
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _own()
         for batch in batches:
             got = [features(t) for t in batch["text"].tolist()]
             yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "at": [g[0].astype("<i4").tobytes() for g in got],
@@ -164,6 +172,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
+        _own()
         m = Model(*held.value)
         return pd.Series([m.score(*features(t)) for t in texts.tolist()], dtype="float64")
 

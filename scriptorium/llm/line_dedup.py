@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, release_shuffles, sieve, stage, text_hash, unstage, unused, word_array
+from .common import SPACE, hold, release_shuffles, sieve, stage, text_hash, unstage, unused, word_array
 
 MIN_WORDS = 50
 #: Rows of an Arrow batch.
@@ -47,6 +47,7 @@ def _sequence(docs: DataFrame, min_words: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        hold("lines")
         uid = TaskContext.get().partitionId() << 33
         keys, names = [], ["uid", "doc_id", "th", "i", "stop", "begin", "h1", "h2"]
         found: list[tuple[np.ndarray, ...]] = []

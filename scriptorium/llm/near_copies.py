@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_words, connected_components, release_shuffles, sieve, stage, text_hash, unstage, unused, without
+from .common import byte_words, connected_components, hold, release_shuffles, sieve, stage, text_hash, unstage, unused, without
 from .simhash import fingerprint, links
 
 SAMPLE, COMMON_ROWS, MAPS, WIDE = 32, 500_000, 8, 8192
@@ -62,6 +62,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, th, g (hash of the set), fp (SimHash fingerprint), sample: the shingles of sampled sets, else null."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("near")
         for batch in batches:
             g, fp, sample = np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.uint64), []
             for i, t in enumerate(batch["text"].tolist()):
@@ -87,6 +88,7 @@ def _prefixes(docs: DataFrame, words: int, similarity: float, common: tuple[np.n
     known, counts = common
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("near")
         for batch in batches:
             g, n, prefix = np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.int64), []
             maps = np.zeros((len(batch), MAPS), np.int64)
@@ -109,6 +111,7 @@ def _ends(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, words: int, wh
     """g, n (size of the set), v: the whole set or its parity map of WIDE bits, for the ends of pairs."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("near")
         for batch in batches:
             n, values = [], []
             for t in batch["text"].tolist():

@@ -455,6 +455,20 @@ def test_line_dedup_of_repeated_and_tied_rows(spark):
     assert sorted(r["__uid"] for r in line_dedup.dedup_lines(table, 20).collect()) == list(range(len(rows)))
 
 
+def test_caches_belong_to_one_operator():
+    """A worker that goes from one operator to the next keeps no word of the last one."""
+    tokenizing.encoder(vocabulary("byte_bpe_50k.json")).ids("some words of a text")
+    assert tokenizing._ENCODERS
+    common.hold("near")
+    assert not tokenizing._ENCODERS
+    fm_classifier._own()
+    fm_classifier.features("some words of a text")
+    fm_classifier._own()
+    assert fm_classifier._BUCKETS  # its own tasks share them
+    tokenizing.encoder(vocabulary("byte_bpe_50k.json"))
+    assert not fm_classifier._BUCKETS and tokenizing._ENCODERS
+
+
 def test_sieve(spark):
     keys = spark.createDataFrame([(k * 7919 - 50_000_000,) for k in range(20_000)] + [(None,), (-1,), (2**63 - 1,), (-(2**63),)], "k long")
     test = common.sieve(keys, "k")
