@@ -5,13 +5,14 @@ empty model and carries a crc32 of its ids. All blocks of a shard run in lockste
 block, so the coder works on vectors.
 
 Model of a lane. Ids are numbered in the order in which the block first uses them:
-* order 0 predicts an id by its count in the block so far, and a new id by the adaptive rate of new ids;
+* order 0 predicts an id by its count in the block, and a new id by the adaptive rate of new ids; counts are taken
+  in whenever the block has grown by a quarter, at every step of the first eight; until then ids first used since count 1;
 * order 1 and order 2 put an adaptive part of their probability, which goes by how sure they are, on the id
   that followed the last id, or a hash of the last two, and the rest on order 0;
 * the three distributions are mixed linearly; weights follow how well each predicted so far (Bayesian
   mixing with a floor).
-The mixture gives the probabilities of the two guessed ids, of a new id, and of all others. A 64-bit
-range coder with 32-bit words codes which of them it is, then another id by its count, or a new one by
+The mixture gives the probabilities of the two guessed ids, of a new id, and of all others. A 62-bit
+range coder with 32-bit words, whose carries are added at the end, codes which of them it is, then another id by its count, or a new one by
 a fixed prior that falls with the id, as merges are listed by frequency.
 
 File: header, table of documents (doc_id, null flag, ids), table of blocks (words, crc32), words.
@@ -35,103 +36,125 @@ from .common import fresh_path, open_fs, stage
 from .tokenizing import encoder
 
 BLOCK = 2048
-#: Ids in a shard: 2048 lanes, whose model tables take 26 MB.
-SHARD_IDS = 2048 * BLOCK
-MAGIC = b"CMRC2\0\0\0"
-_ONE, _TWO = 11, 11  # log2 of the slots of the order-1 table, one for each id of a block, and of the order-2 table
+#: Ids in a shard: 4096 lanes, whose model tables take 34 MB, and those of order 0 what their distinct ids need.
+SHARD_IDS = 4096 * BLOCK
+MAGIC = b"CMRC3\0\0\0"
+_SLOTS = 11  # log2 of the slots of a lane in the tables of order 1, one for each id of a block, and of order 2
 _ID_BITS = 20
 _MASK = (1 << _ID_BITS) - 1
 #: A table entry is the number of an id and, above these bits, how sure it is (0: empty, to 7).
 _NUMBER_BITS = 11
 _NUMBER = (1 << _NUMBER_BITS) - 1
-#: What an entry gains by a right guess, up to 7, and loses by a wrong one, which halves how sure it is.
-_SURER = np.array([1, 1, 1, 1, 1, 1, 1, 0], np.int16) << _NUMBER_BITS
-_LESS_SURE = np.array([k - k // 2 for k in range(8)], np.int16) << _NUMBER_BITS
-#: BLOCK counts are summed by 8, these by 16, and 16 such sums are the total: whom row g of _BELOW16 or _BELOW8 counts in.
-_BELOW16, _BELOW8 = np.tri(16, 16, -1, np.int16), np.tri(8, 8, -1, np.int16)
+#: What an entry gains by a wrong guess (rows 0 to 7, by how sure it is; it halves) and by a right one (8 to 15).
+_GAIN = np.array([k // 2 - k for k in range(8)] + [1, 1, 1, 1, 1, 1, 1, 0], np.int16) << _NUMBER_BITS
+#: Order 0 takes in what was coded since, when the block has grown by this part (a power of two).
+_REFRESH = 2
 
 
 class _Lanes:
-    """Model state of all lanes. Ids are numbers in the block (see _numbered); update() and predict() serve coder and decoder."""
+    """Model state of all lanes. Ids are numbers in the block (see _numbered); update() and predict() serve coder and decoder.
 
-    def __init__(self, lanes: int):
-        lane = np.arange(lanes)
-        self.t1 = np.zeros(lanes << _ONE, np.int16)
-        self.t2 = np.zeros(lanes << _TWO, np.int16)
-        self.count, self.by_8, self.by_128 = (np.zeros(lanes * BLOCK // k, np.int16) for k in (1, 8, 128))
-        self.at1, self.at2, self.at0, self.by8 = lane << _ONE, lane << _TWO, lane * BLOCK, lane * 8
-        self.a2 = np.full(lanes * 8, 0.4, np.float32)
-        self.a1 = np.full(lanes * 8, 0.3, np.float32)
+    Arrays of two rows hold order 2 and order 1. Classes of an id: 0 order 2 guessed it, 1 order 1 did and order 2 did not,
+    2 it is new, 3 any other.
+    """
+
+    def __init__(self, lanes: int, find: bool = False):
+        """find: the lanes will have to find() ids."""
+        self.lanes, self.lane, self.finds = lanes, np.arange(lanes), find
+        self.tables = np.zeros(lanes * 2 << _SLOTS, np.int16)
+        both = np.arange(2 * lanes).reshape(2, lanes)
+        self.at, self.by8 = both << _SLOTS, both * 8
+        self.adaptive = np.repeat(np.array([0.4, 0.3], np.float32), lanes * 8)
+        self.weights = np.repeat(np.array([[0.4], [0.3]], np.float32), lanes, axis=1)
+        self.weight0 = np.full(lanes, 0.3, np.float32)
         self.new = np.full(lanes, 0.95, np.float32)
-        self.w2, self.w1, self.w0 = (np.full(lanes, x, np.float32) for x in (0.4, 0.3, 0.3))
-        self.prev1 = np.zeros(lanes, np.int64)
-        self.prev2 = np.zeros(lanes, np.int64)
+        self.slots = np.zeros((2, lanes), np.int64)
         self.seen = np.zeros(lanes, np.int64)
         self.steps = 0
-
-    def predict(self) -> None:
-        last = self.prev1
-        self.i1 = self.at1 + last
-        self.i2 = self.at2 + (self.prev2 * 48271 + last * 2654435 >> 5 & (1 << _TWO) - 1)
-        v1, v2 = self.v1, self.v2 = self.t1[self.i1], self.t2[self.i2]
-        self.p1, self.p2, self.c1, self.c2 = v1 & _NUMBER, v2 & _NUMBER, v1 >> _NUMBER_BITS, v2 >> _NUMBER_BITS
-        self.same = self.p1 == self.p2
-        self.x2, self.x1 = self.by8 + self.c2, self.by8 + self.c1
-        self.e2, self.e1 = self.a2[self.x2], self.a1[self.x1]
-        share = (1 - self.new) * np.float32(1 / max(self.steps, 1))
-        self.m2 = self.count[self.at0 + self.p2] * share
-        self.m1 = self.count[self.at0 + self.p1] * share * ~self.same
-        g2, g1 = self.w2 * self.e2, self.w1 * self.e1
-        rest = 1 - g2 - g1
-        shared = g1 * self.same
-        self.q2 = ((g2 + shared + rest * self.m2) * 65300).astype(np.int64) + 16
-        self.q1 = ((g1 - shared + rest * self.m1) * 65300).astype(np.int64) + 16
-        self.qn = (rest * self.new * 65300).astype(np.int64) + 16
-
-    def _add(self, at: np.ndarray, n) -> None:
-        """n to the counts at places of all lanes' counts, none twice."""
-        self.count[at] += n
-        self.by_8[at >> 3] += n
-        self.by_128[at >> 7] += n
+        self.count = np.zeros((lanes, 0), np.int16)
+        self.since: list[np.ndarray] = []
+        #: Ends of the classes 0 to 3 in 65536, from row 1 on; order-0 probabilities of what classes 0 and 1 hold, else 1.
+        self.ends = np.zeros((5, lanes), np.int32)
+        self.ends[4] = 65536
+        self.flat_ends = self.ends.reshape(-1)
+        self.zero = np.ones((4, lanes), np.float32)
+        self.flat_zero = self.zero.reshape(-1)
+        self.sums = np.empty((3, lanes), np.float32)
+        self._refresh()
+
+    def _refresh(self) -> None:
+        """Order 0 anew: ids hold as much as they were used, those to come in the block 1 each."""
+        after = min(self.steps + max(1, self.steps >> _REFRESH), BLOCK)
+        top = min(int(self.seen.max()) + after - self.steps, BLOCK) + 1
+        count = np.zeros((self.lanes, top), np.int16)
+        count[:, : self.count.shape[1]] = self.count[:, :top]
+        if self.since:
+            np.add.at(count.reshape(-1), (np.array(self.since) + self.lane * top).reshape(-1), np.int16(1))
+            self.since.clear()
+        self.count, self.after, self.at0 = count, after, self.lane * top
+        width = np.maximum(count, 1)
+        starts = np.zeros((self.lanes, top), np.int16)
+        np.cumsum(width[:, :-1], axis=1, dtype=np.int16, out=starts[:, 1:])
+        self.starts, self.width = starts.reshape(-1), width.reshape(-1)
+        if self.finds:  # the id at every place before the next refresh
+            ends = np.minimum(starts + width, after)
+            ends[:, 1:] -= np.minimum(starts[:, 1:], after)
+            self.places = np.repeat(np.tile(np.arange(top, dtype=np.int16), self.lanes), ends.reshape(-1))
+        self.total = np.full(self.lanes, max(self.steps, 1), np.float32)  # of order 0
 
     def place(self, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, width) of ids x in the counts of lanes at."""
+        """(start, width) of ids x in order 0 of lanes at."""
         k = self.at0[at] + x
-        below = (np.einsum("ij,ij->i", self.by_128.reshape(-1, 16)[at], _BELOW16[x >> 7])
-                 + np.einsum("ij,ij->i", self.by_8.reshape(-1, 16)[k >> 7], _BELOW16[x >> 3 & 15])
-                 + np.einsum("ij,ij->i", self.count.reshape(-1, 8)[k >> 3], _BELOW8[x & 7]))
-        return below, self.count[k]
-
-    def find(self, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(id, start, width) of the ids that hold value in the counts of lanes at."""
-        every, left, k = np.arange(len(at)), value.astype(np.int16), at
-        for sums in (self.by_128.reshape(-1, 16), self.by_8.reshape(-1, 16), self.count.reshape(-1, 8)):
-            row = sums[k]
-            ends = np.cumsum(row, axis=1, dtype=np.int16)
-            g = np.minimum(np.add.reduce(ends <= left[:, None], axis=1), sums.shape[1] - 1)
-            left = left - ends[every, g] + row[every, g]
-            k = k * sums.shape[1] + g
-        return k - self.at0[at], value - left, self.count[k]
-
-    def update(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, new: np.ndarray) -> None:
-        """hit1: order 1 guessed x and order 2 did not; new: x is a new id."""
-        held = hit1 | (hit2 & self.same)
-        zero = np.where(hit2, self.m2, np.where(hit1, self.m1, _ONE32))
-        to2, to1 = hit2.astype(np.float32), held.astype(np.float32)
-        s2 = self.w2 * ((1 - self.e2) * zero + to2 * self.e2)
-        s1 = self.w1 * ((1 - self.e1) * zero + to1 * self.e1)
-        scale = np.float32(0.97) / (s2 + s1 + self.w0 * zero)
-        self.w2, self.w1 = s2 * scale + 0.01, s1 * scale + 0.01
-        self.w0 = 1 - self.w2 - self.w1
-        self.a2[self.x2] = self.e2 + (to2 * 0.998 + 0.001 - self.e2) * 0.06
-        self.a1[self.x1] = self.e1 + (to1 * 0.998 + 0.001 - self.e1) * 0.06
-        self.new += (new.astype(np.float32) * 0.998 + 0.001 - self.new) * max(0.02, 1 / (self.steps + 4))
-        fresh = x.astype(np.int16) | 1 << _NUMBER_BITS
-        for table, at, entry, sure, right in ((self.t1, self.i1, self.v1, self.c1, held), (self.t2, self.i2, self.v2, self.c2, hit2)):
-            table[at] = np.where(right, entry + _SURER[sure], np.where(sure > 2, entry - _LESS_SURE[sure], fresh))
-        self._add(self.at0 + x, 1)
-        self.prev2, self.prev1 = self.prev1, x
-        self.seen += new
+        return self.starts[k].astype(np.int64), self.width[k].astype(np.int64)
+
+    def find(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Ids that hold value in order 0 of lanes at."""
+        return self.places[at * self.after + value]
+
+    def predict(self) -> None:
+        if self.steps == self.after:
+            self._refresh()
+        self.index = self.at + self.slots
+        self.entry = self.tables.take(self.index, mode="clip")
+        self.guess, self.sure = self.entry & _NUMBER, self.entry >> _NUMBER_BITS
+        self.state = self.by8 + self.sure
+        e = self.right = self.adaptive.take(self.state, mode="clip")
+        share = (1 - self.new) / self.total
+        m = np.multiply(self.width.take(self.at0 + self.guess, mode="clip"), share, out=self.zero[:2])
+        g = self.weights * e
+        rest = 1 - g[0] - g[1]
+        apart = (self.guess[0] != self.guess[1]).astype(np.float32)
+        alone = g[1] * apart
+        a, b, c = self.sums
+        np.add(g[0] + (g[1] - alone), rest * m[0], out=a)
+        np.add(a, alone + rest * m[1] * apart, out=b)
+        np.add(b, rest * self.new, out=c)
+        np.multiply(self.sums, 65300, out=self.sums)
+        np.add(self.sums, _LEAST, out=self.ends[1:4], casting="unsafe")
+
+    def update(self, x: np.ndarray, new: np.ndarray, at: np.ndarray) -> None:
+        """x: ids; new: lanes whose id is new; at: places of the classes of x in a table of a row per class."""
+        x16 = x.astype(np.int16)
+        hit = self.guess == x16
+        zero, to = self.flat_zero.take(at, mode="clip"), hit.astype(np.float32)
+        e = self.right
+        s = self.weights * ((1 - e) * zero + to * e)
+        scale = np.float32(0.97) / (s[0] + s[1] + self.weight0 * zero)
+        self.weights = s * scale + np.float32(0.01)
+        self.weight0 = 1 - self.weights[0] - self.weights[1]
+        self.adaptive[self.state.reshape(-1)] = (e * np.float32(0.94) + (to * np.float32(0.05988) + np.float32(0.00006))).reshape(-1)
+        rate = max(0.02, 1 / (self.steps + 4))
+        self.new = self.new * np.float32(1 - rate) + np.float32(0.001 * rate)
+        self.new[new] += np.float32(0.998 * rate)
+        case = self.sure + (hit.view(np.int8) << 3)
+        # a wrong guess of an entry that is not sure makes room
+        entry = np.where(case > 2, self.entry + _GAIN.take(case, mode="clip"), x16 | 1 << _NUMBER_BITS)
+        self.tables[self.index.reshape(-1)] = entry.reshape(-1)
+        self.since.append(x)
+        np.bitwise_and(self.slots[1] * 45 + x, (1 << _SLOTS) - 1, out=self.slots[0])
+        self.slots[1] = x
+        self.seen[new] += 1
+        self.total[new] += 1
         self.steps += 1
 
 
@@ -149,48 +172,62 @@ def _prior(ids: int) -> np.ndarray:
 
 def _numbered(grid: np.ndarray) -> np.ndarray:
     """Ids of blocks (one block a row) as numbers in the order in which their block first uses them."""
-    grid = grid.astype(np.uint16 if grid.max() < 1 << 16 else np.uint32)
-    lane = np.arange(len(grid))[:, None] * BLOCK
-    order = np.argsort(grid, axis=1, kind="stable")  # equal ids together, the first use first
-    ids = np.take_along_axis(grid, order, axis=1)
+    key = grid.astype(np.uint32) << 11 | np.arange(BLOCK, dtype=np.uint32)  # BLOCK is 2 ** 11
+    key.sort(axis=1)  # equal ids together, the first use first
+    ids = key >> 11
     begins = np.ones(grid.shape, bool)
-    begins[:, 1:] = ids[:, 1:] != ids[:, :-1]
-    order += lane
+    np.not_equal(ids[:, 1:], ids[:, :-1], out=begins[:, 1:])
+    order = ((key & BLOCK - 1) + np.arange(len(grid), dtype=np.int64)[:, None] * BLOCK).reshape(-1)
+    begins = begins.reshape(-1)
     firsts = order[begins]
-    is_first = np.zeros(grid.size, np.int32)
+    is_first = np.zeros(grid.size, np.int16)
     is_first[firsts] = 1
-    number = np.cumsum(is_first.reshape(grid.shape), axis=1, dtype=np.int32).ravel() - 1
-    out = np.empty(grid.size, np.int64)
-    out[order.ravel()] = number[firsts][np.cumsum(begins.ravel()) - 1]
+    number = np.cumsum(is_first.reshape(grid.shape), axis=1, dtype=np.int16).reshape(-1) - np.int16(1)
+    out = np.empty(grid.size, np.int16)
+    out[order] = np.repeat(number[firsts], np.diff(np.append(np.nonzero(begins)[0], grid.size)))
     return out.reshape(grid.shape)
 
 
-_ONE32 = np.float32(1)
-_U = np.uint64
+#: Every class has at least 16 of 65536.
+_LEAST = np.array([[16], [32], [48]], np.float32)
+#: The class by (order 2 is right) + 2 (order 1 is right).
+_KIND = np.array([3, 0, 1, 0])
+#: low and range are of 62 bits, so that a carry is bit 32 of the word that leaves; a lane whose range is short gives one off.
+_BITS = 62
+#: The range that a new id needs, and how far apart values are whose id is looked up.
+_SCANT, _COARSE = 1 << _TOTAL + 2, 7
+_WORD, _LOW, _SHORT = (1 << 32) - 1, (1 << _BITS - 32) - 1, 1 << _BITS - 32
+
+
+def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a // b of numbers that are not negative; numpy divides unsigned ones faster."""
+    return (a.view(np.uint64) // b.view(np.uint64)).view(np.int64)
 
 
 class _Writer:
     def __init__(self, lanes: int):
-        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
+        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, (1 << _BITS) - 1, np.int64)
         self.lanes: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
 
-    def renew(self) -> None:
-        at = np.nonzero(self.range < _U(1 << 32))[0]
-        if len(at):
-            low, span = self.low[at], self.range[at]
-            cut = (low ^ (low + span - _U(1))) >> _U(32) != 0
-            span = np.where(cut, (~low + _U(1)) & _U(0xFFFFFFFF), span)
-            self.lanes.append(at.astype(np.int32))
-            self.words.append((low >> _U(32)).astype(np.uint32))
-            self.low[at], self.range[at] = low << _U(32), span << _U(32)
+    def renew(self, at: np.ndarray) -> None:
+        """A word leaves the lanes at."""
+        low = self.low[at]
+        self.lanes.append(at.astype(np.int32))
+        self.words.append(low >> _BITS - 32)
+        self.low[at] = (low & _LOW) << 32
+        self.range[at] <<= 32
 
     def done(self) -> tuple[np.ndarray, np.ndarray]:
         """Words of all lanes, lane by lane, and how many each has."""
         self.lanes.append(np.arange(len(self.low), dtype=np.int32))
-        self.words.append(((self.low + _U(0xFFFFFFFF)) >> _U(32)).astype(np.uint32))
+        self.words.append((self.low + _LOW) >> _BITS - 32)
         lane = np.concatenate(self.lanes)
-        return np.concatenate(self.words)[np.argsort(lane, kind="stable")], np.bincount(lane, minlength=len(self.low))
+        words = np.concatenate(self.words)[np.argsort(lane.astype(np.uint16) if len(self.low) <= 1 << 16 else lane, kind="stable")]
+        while (carry := words >> 32).any():
+            words &= _WORD
+            words[:-1] += carry[1:]
+        return words.astype(np.uint32), np.bincount(lane, minlength=len(self.low))
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int], int]:
@@ -202,39 +239,41 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int], int]:
     n, above = -(-len(ids) // BLOCK), int(ids.max()) + 1
     checks = [zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u4").tobytes()) for k in range(n)]
     prior = _prior(above)
-    flat = np.zeros(n * BLOCK, np.int64)  # the padding of the last block is coded and dropped on reading
+    flat = np.zeros(n * BLOCK, np.uint32)  # the padding of the last block is coded and dropped on reading
     flat[: len(ids)] = ids
     blocks = flat.reshape(n, BLOCK)
     steps = min(BLOCK, len(ids))
-    by_step = lambda a: np.ascontiguousarray(a.T[:steps])
+    numbers = np.empty((steps, n), np.int16)
+    for k in range(0, n, 128):  # few blocks at a time, which stay at hand
+        numbers[:, k : k + 128] = _numbered(blocks[k : k + 128]).T[:steps]
     model, out = _Lanes(n), _Writer(n)
-    for x, raw in zip(by_step(_numbered(blocks)), by_step(blocks)):
+    for step, x16 in enumerate(numbers):
+        x = x16.astype(np.int64)
         model.predict()
-        new = x == model.seen
-        hit2 = ~new & (x == model.p2)
-        hit1 = ~new & ~hit2 & (x == model.p1)
-        upto1 = model.q2 + model.q1
-        upton = upto1 + model.qn
-        start = np.where(hit2, 0, np.where(hit1, model.q2, np.where(new, upto1, upton)))
-        size = np.where(hit2, model.q2, np.where(hit1, model.q1, np.where(new, model.qn, 65536 - upton)))
-        unit = out.range >> _U(16)
-        out.low += unit * start.astype(_U)
-        out.range = unit * size.astype(_U)
-        out.renew()
-        at = np.nonzero(new)[0]
-        if len(at):
-            begin = prior[raw[at]]
-            unit = out.range[at] >> _U(_TOTAL)
-            out.low[at] += unit * begin.astype(_U)
-            out.range[at] = unit * (prior[raw[at] + 1] - begin).astype(_U)
-        at = np.nonzero(~(new | hit2 | hit1))[0]
-        if len(at):
-            begin, width = model.place(at, x[at])
-            unit = out.range[at] // _U(model.steps)
-            out.low[at] += unit * begin.astype(_U)
-            out.range[at] = unit * width.astype(_U)
-        out.renew()
-        model.update(x, hit2, hit1, new)
+        right = (model.guess == x16).view(np.int8)
+        kind = _KIND.take(right[0] + (right[1] << 1), mode="clip")
+        new = np.nonzero(x == model.seen)[0]
+        kind[new] = 2
+        at = kind * n + model.lane
+        start = model.flat_ends.take(at, mode="clip").astype(np.int64)
+        unit = out.range >> 16
+        out.low += unit * start
+        out.range = unit * (model.flat_ends.take(at + n, mode="clip") - start)
+        if len(new):
+            out.renew(new[out.range[new] < _SCANT])
+            raw = flat[new * BLOCK + step].astype(np.int64)
+            begin = prior[raw]
+            unit = out.range[new] >> _TOTAL
+            out.low[new] += unit * begin
+            out.range[new] = unit * (prior[raw + 1] - begin)
+        other = np.nonzero(kind == 3)[0]
+        if len(other):
+            begin, width = model.place(other, x[other])
+            unit = _ratio(out.range[other], model.total[other].astype(np.int64))
+            out.low[other] += unit * begin
+            out.range[other] = unit * width
+        out.renew(np.nonzero(out.range < _SHORT)[0])
+        model.update(x, new, at)
     words, sizes = out.done()
     return words, sizes, checks, above
 
@@ -245,67 +284,63 @@ def unpack(words, sizes, checks, above: int, count: int) -> np.ndarray:
         return np.zeros(0, np.uint32)
     n = len(sizes)
     prior = _prior(above)
-    words = np.concatenate([words, np.zeros(4, np.uint32)]).astype(_U)
-    ends = np.cumsum(sizes)
-    at = ends - sizes
-
-    def take(where) -> np.ndarray:
-        got = np.where(at[where] < ends[where], words[np.minimum(at[where], len(words) - 1)], _U(0))
-        at[where] += 1
-        return got
-
-    every = np.arange(n)
-    code = take(every) << _U(32) | take(every)
-    low, span = np.zeros(n, _U), np.full(n, 0xFFFFFFFFFFFFFFFF, _U)
-
-    def renew() -> None:
-        w = np.nonzero(span < _U(1 << 32))[0]
-        if len(w):
-            lo, sp = low[w], span[w]
-            cut = (lo ^ (lo + sp - _U(1))) >> _U(32) != 0
-            sp = np.where(cut, (~lo + _U(1)) & _U(0xFFFFFFFF), sp)
-            code[w] = code[w] << _U(32) | take(w)
-            low[w], span[w] = lo << _U(32), sp << _U(32)
-
-    model = _Lanes(n)
-    names = np.zeros(n * BLOCK, np.uint32)  # ids by block and number
-    grid = np.zeros((min(BLOCK, count), n), np.uint32)
+    at = np.cumsum(sizes) - sizes + 2 * np.arange(n)  # two words of zero after each lane
+    stream = np.zeros(len(words) + 2 * n + 1, np.int64)
+    stream[np.arange(len(words)) + 2 * np.repeat(np.arange(n), sizes)] = words
+    stream = (stream[:-1] << _BITS - 32) | (stream[1:] >> 64 - _BITS)  # 62 bits from each word on
+    rest, span = stream[at], np.full(n, (1 << _BITS) - 1, np.int64)  # what the code is above low
+    stream &= _WORD
+    at += 1
+
+    def renew(w) -> None:
+        rest[w] = rest[w] << 32 | stream.take(at[w], mode="clip")
+        span[w] <<= 32
+        at[w] += 1
+
+    coarse = np.searchsorted(prior, np.arange(0, 1 << _TOTAL, 1 << _COARSE), side="right") - 1  # the id at these values
+    model = _Lanes(n, find=True)
+    names = np.zeros((n, BLOCK), np.uint32)  # ids by block and number
+    grid = np.zeros((min(BLOCK, count), n), np.int16)
     for row in grid:
         model.predict()
-        unit = span >> _U(16)
-        value = np.minimum((code - low) // unit, _U(65535)).astype(np.int64)
-        upto1 = model.q2 + model.q1
-        upton = upto1 + model.qn
-        hit2 = value < model.q2
-        hit1 = ~hit2 & (value < upto1)
-        new = (value >= upto1) & (value < upton)
-        low += unit * np.where(hit2, 0, np.where(hit1, model.q2, np.where(new, upto1, upton))).astype(_U)
-        span = unit * np.where(hit2, model.q2, np.where(hit1, model.q1, np.where(new, model.qn, 65536 - upton))).astype(_U)
-        renew()
-        x = np.where(hit2, model.p2, model.p1).astype(np.int64)
-        w = np.nonzero(new)[0]
-        if len(w):
-            x[w] = np.minimum(model.seen[w], BLOCK - 1)
-            unit = span[w] >> _U(_TOTAL)
-            value = np.minimum((code[w] - low[w]) // unit, _U((1 << _TOTAL) - 1)).astype(np.int64)
-            k = np.searchsorted(prior, value, side="right") - 1
-            names[w * BLOCK + x[w]] = k
-            low[w] += unit * prior[k].astype(_U)
-            span[w] = unit * (prior[k + 1] - prior[k]).astype(_U)
-        w = np.nonzero(~(new | hit2 | hit1))[0]
-        if len(w):
-            total = max(model.steps, 1)  # damaged words may ask where nothing is
-            unit = span[w] // _U(total)
-            value = np.minimum((code[w] - low[w]) // unit, _U(total - 1)).astype(np.int64)
-            x[w], begin, width = model.find(w, value)
-            low[w] += unit * begin.astype(_U)
-            span[w] = unit * np.maximum(width, 1).astype(_U)
-        renew()
-        row[:] = names[model.at0 + x]
-        model.update(x, hit2, hit1, new)
-    full = np.zeros((BLOCK, n), np.uint32)
-    full[: len(grid)] = grid
-    ids = np.ascontiguousarray(full.T).ravel()[:count]
+        unit = span >> 16
+        below = (model.ends[1:4] <= np.minimum(_ratio(rest, unit), 65535).astype(np.int32)).view(np.int8)
+        kind = below[0] + below[1] + below[2]
+        place = kind.astype(np.int64) * n + model.lane
+        start = model.flat_ends.take(place, mode="clip").astype(np.int64)
+        rest -= unit * start
+        span = unit * (model.flat_ends.take(place + n, mode="clip") - start)
+        x = np.where(below[0], model.guess[1], model.guess[0]).astype(np.int64)
+        new = np.nonzero(kind == 2)[0]
+        if len(new):
+            x[new] = model.seen[new]
+            renew(new[span[new] < _SCANT])
+            unit = span[new] >> _TOTAL
+            left = rest[new]
+            value = np.minimum(_ratio(left, unit), (1 << _TOTAL) - 1)
+            k = coarse[value >> _COARSE]
+            while (more := prior[k + 1] <= value).any():
+                k += more
+            names[new, x[new]] = k
+            begin = prior[k]
+            rest[new] = left - unit * begin
+            span[new] = unit * (prior[k + 1] - begin)
+        other = np.nonzero(kind == 3)[0]
+        if len(other):
+            total = model.total[other].astype(np.int64)
+            unit = _ratio(span[other], total)
+            left = rest[other]
+            y = x[other] = model.find(other, np.minimum(_ratio(left, unit), total - 1))
+            begin, width = model.place(other, y)
+            rest[other] = left - unit * begin
+            span[other] = unit * width
+        renew(np.nonzero(span < _SHORT)[0])
+        row[:] = x
+        model.update(x, new, place)
+    ids = np.zeros((n, BLOCK), np.uint32)
+    for k in range(0, n, 64):  # some lanes at a time, whose names stay at hand
+        ids[k : k + 64, : len(grid)] = np.take_along_axis(names[k : k + 64], grid[:, k : k + 64].T.astype(np.int64), axis=1)
+    ids = ids.reshape(-1)[:count]
     for k, check in enumerate(checks):
         if zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u4").tobytes()) != check:
             raise ValueError(f"block {k} fails its checksum")
@@ -350,44 +385,48 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
     spark = docs.sparkSession
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches):
         import uuid
 
+        import pyarrow as pa
         from pyspark import TaskContext
 
         enc, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         fs, base = open_fs(out_dir)
         fs.create_dir(base, recursive=True)
-        end = struct.pack("<I", end_id)
         keys: list = []
         counts: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         size = 0
 
-        def flush() -> pd.DataFrame:
+        def flush():
             nonlocal seq, size
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.concatenate(held)
+            held.clear()
             path = f"{out_dir}/ids-{part:06d}-{seq:06d}-{uuid.uuid4().hex}.cmrc"
             with fs.open_output_stream(open_fs(path)[1]) as out:
                 write_shard(out, keys, counts, ids)
-            row = pd.DataFrame({"part": [part], "seq": [seq], "path": [path], "n_docs": [len(keys)], "n_ids": [len(ids)]})
-            keys.clear(), counts.clear(), held.clear()
+            row = pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "path": [path], "n_docs": [len(keys)], "n_ids": [len(ids)]})
+            keys.clear(), counts.clear()
             seq, size = seq + 1, 0
             return row
 
         for batch in batches:
-            for key, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                got = enc.ids(text) + end
-                keys.append(None if key is None or key != key else int(key))
-                counts.append(len(got) // 4)
-                held.append(got)
-                size += len(got) // 4
+            ids, sizes = enc.batch(batch.column("text"), end_id)
+            batch_keys, ends, done, used = batch.column("doc_id").to_pylist(), np.cumsum(sizes), 0, 0
+            while done < len(sizes):
+                upto = min(int(np.searchsorted(ends, used + SHARD_IDS - size)) + 1, len(sizes))  # documents until the shard is full
+                held.append(ids[used : ends[upto - 1]])
+                keys += batch_keys[done:upto]
+                counts += sizes[done:upto].tolist()
+                size += len(held[-1])
+                done, used = upto, int(ends[upto - 1])
                 if size >= SHARD_IDS:
                     yield flush()
         if keys:
             yield flush()
 
-    rows = ordered.mapInPandas(write, "part long, seq long, path string, n_docs long, n_ids long")
+    rows = ordered.mapInArrow(write, "part long, seq long, path string, n_docs long, n_ids long")
     rows = stage(rows, "token-manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

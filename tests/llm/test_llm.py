@@ -80,6 +80,53 @@ def test_token_files(spark):
     assert token_coder.encode_corpus(docs(spark, []), vocabulary("word_bpe_49k.json")).count() == 0
 
 
+def test_token_files_encode_batches():
+    """op1: ids of a batch are the library's, and letters with a mark behind them are looked up as units, not kept as words."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        enc, library = tokenizing.Encoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
+        more = ["<|", "<|x", "a\x0bb\x0cc\rd e\u2003f", "it's they'll we'd' 'tis rock'n'roll _a a_ 1a a1", "\u0130I \u017ft K\u212a", "e\u0301 a\u0301x,"]
+        for texts in (ODD + more, (ODD + more)[::-1], [None, ""], ["<|endoftext|>"] * 3, []):
+            want = [library.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+            ids, counts = enc.batch(pa.array(texts, pa.string()), 7)
+            assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+        sliced = pa.array(["x", *ODD, None], pa.string()).slice(1)
+        assert enc.batch(sliced, 7)[0].tolist() == sum([library.encode(t or "", add_special_tokens=False).ids + [7] for t in [*ODD, None]], [])
+    enc = tokenizing.Encoder(vocabulary("word_bpe_49k.json"))
+    enc.batch(pa.array(["Words words, WORDS. \u00c9t\u00e9! \u00e9t\u00e9", "words 2b"]), 7)
+    assert set(enc.plain) == {"2b"} and {"words", "\u00e9t\u00e9"} < set(enc.pieces)
+
+
+def test_coder_refreshes_order_0():
+    """op1: blocks of few, many and only new ids in one shard; any damaged word is a checksum error, nothing else."""
+    rng = np.random.default_rng(5)
+    n = token_coder.BLOCK
+    a = np.concatenate([np.arange(n), rng.integers(0, 3, n), (rng.zipf(1.2, n) % 49_000), np.full(n, 5), rng.permutation(n)[: n // 3]]).astype(np.uint32)
+    words, sizes, checks, above = token_coder.pack(a)
+    assert (token_coder.unpack(words, sizes, checks, above, len(a)) == a).all()
+    for k in rng.integers(0, len(words), 12):
+        bad = words.copy()
+        bad[k] ^= 0xA5A5A5A5
+        with pytest.raises(ValueError):
+            token_coder.unpack(bad, sizes, checks, above, len(a))
+    few = (np.random.default_rng(9).zipf(1.3, 2 * n) % 900).astype(np.uint32)
+    assert token_coder.pack(few)[0].nbytes * 8 / len(few) < 6.65  # 6.67 with order-0 counts of every step
+
+
+def test_shards_are_cut_at_documents(spark, monkeypatch):
+    """op1: many shards in a partition hold whole documents in order; a null doc_id and large ones stay exact."""
+    monkeypatch.setattr(token_coder, "SHARD_IDS", 7)
+    texts, ids = ["a b c", "", "d " * 20, None, "e f g h i j k", "l", "m n"], [1, 2, (1 << 62) + 1, 4, 5, None, 7]
+    got = token_coder.encode_corpus(docs(spark, texts, ids), vocabulary("word_bpe_49k.json")).orderBy("start").collect()
+    enc, at = tokenizing.encoder(vocabulary("word_bpe_49k.json")), 0
+    for r, (k, t) in zip(got, sorted(zip(ids, texts), key=lambda p: -1 if p[0] is None else p[0]), strict=True):
+        want = enc.ids(t) + b"\1\0\0\0"
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (k, at, len(want) // 4, zlib.crc32(want))
+        at += len(want) // 4
+
+
 def brute_rules(text):
     w = [x for x in __import__("re").findall(r"[^\x20\x09-\x0D]+", text or "")]
     tri = Counter(zip(w, w[1:], w[2:]))
