@@ -95,6 +95,12 @@ def test_token_files_encode_batches():
         sliced = pa.array(["x", *ODD, None], pa.string()).slice(1)
         assert enc.batch(sliced, 7)[0].tolist() == sum([library.encode(t or "", add_special_tokens=False).ids + [7] for t in [*ODD, None]], [])
     enc = tokenizing.Encoder(vocabulary("word_bpe_49k.json"))
+    long = ["a b, " * 140_000, "<|x", None, "c " * 300_000, "d"]  # longer than what is expanded at a time
+    for kind in (pa.string(), pa.large_string()):
+        ids, counts = enc.batch(pa.array(long, kind), 1)
+        assert ids.tobytes() == b"".join(enc.ids(t) + b"\1\0\0\0" for t in long)
+        assert counts.tolist() == [len(enc.ids(t)) // 4 + 1 for t in long]
+    enc = tokenizing.Encoder(vocabulary("word_bpe_49k.json"))
     enc.batch(pa.array(["Words words, WORDS. \u00c9t\u00e9! \u00e9t\u00e9", "words 2b"]), 7)
     assert set(enc.plain) == {"2b"} and {"words", "\u00e9t\u00e9"} < set(enc.pieces)
 
