@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scriptorium import rules
 from scriptorium.operators import candidates as C
+from scriptorium.operators import evaluate as E
 from scriptorium.operators import merge as M
 from scriptorium.operators import recognise as Z
 from scriptorium.operators import scan as A
@@ -115,3 +116,30 @@ def test_candidates_stay_where_they_are_found(spark, name, monkeypatch):
     monkeypatch.setattr(corpus, "write_rows", lambda rows, path, force=True: (plans.append(plan_of(rows)), write(rows, path, force))[1])
     plans.append(plan_of(QUERIES[name](spark, "/root/testdata/sf0.001")))
     assert all("collect_list" not in p for p in plans)
+
+
+SPANS = "sentence_id string, start int, end int, label string"
+
+
+def test_spans_of_sentences_count_like_spans(spark):
+    """Sentences that hold both sides give what spans give, with repeated ids, null ids, nulls in spans and several labels of a place."""
+    rnd = random.Random(5)
+    draw = lambda n: [(rnd.choice(["a", "b", "c", None, "global"]), rnd.choice([*range(5), None] if k % 9 == 0 else range(5)), rnd.choice([6, 7, 1 << 30]),
+                       rnd.choice(["X", "Y", "Z", None] if k % 7 == 0 else ["X", "Y"])) for k in range(n)]
+    gold, pred = spark.createDataFrame(draw(90), SPANS), spark.createDataFrame(draw(70), SPANS)
+    tag = lambda df, side: df.select("sentence_id", (F.rand(3) * 3).cast("int").alias("k"), F.struct("start", "end", "label").alias("x"), F.lit(side).alias("side"))
+    own = lambda side: F.collect_list(F.when(F.col("side") == side, F.col("x"))).alias(side)
+    both = tag(gold, "gold").unionByName(tag(pred, "pred")).groupBy("sentence_id", "k").agg(own("gold"), own("pred"))
+    for f in (E.strict, E.boundary, E.per_label, E.confusion):
+        assert sorted(map(repr, f(both).collect())) == sorted(map(repr, f(gold, pred).select(*f(both).columns).collect()))
+    def key(r):
+        return (r[0] or "global", *r[1:])
+    g, p = {key(r) for r in gold.collect()}, {key(r) for r in pred.collect()}
+    tp = len({r for r in g & p if None not in r})
+    assert E.strict(gold, pred).select("tp", "fp", "fn").first() == (tp, len(p) - tp, len(g) - tp)
+
+
+@pytest.mark.parametrize("name", ["eval_strict", "eval_boundary", "eval_per_label", "eval_confusion"])
+def test_matches_are_found_once(spark, name):
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "Join" not in plan and plan.count("translate(") == 1
