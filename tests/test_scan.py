@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptorium import rules
+from scriptorium.functions import text as T
 from scriptorium.operators import candidates as C
 from scriptorium.operators import evaluate as E
 from scriptorium.operators import merge as M
@@ -143,3 +144,22 @@ def test_spans_of_sentences_count_like_spans(spark):
 def test_matches_are_found_once(spark, name):
     plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "Join" not in plan and plan.count("translate(") == 1
+
+
+def test_line_rules_read_a_line_once(spark):
+    """Edges are trimmed without a pattern, patterns run where what they need is there, and the results are those of the patterns."""
+    assert "regexp_replace" not in str(T.audit(F.col("l")))
+    han, edges = "[\\x{3400}-\\x{9fff}]", "(?U)^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$"
+    old = F.regexp_replace("l", edges, "")
+    edge = lambda body: f"(?:(?<={han})|^){body}(?:(?={han})|$)"
+    tests = [("ocr_placeholder", old.rlike("\\[[0-9A-F]{2,8}\\]") | old.rlike(edge("[A-F][0-9A-F]{2,7}")) | old.rlike(edge("[A-Z]{2,8}"))),
+             ("url", old.rlike("https?://\\S+") | old.rlike("(?i)\\bReferenced:\\s*")), ("wiki_footer", old.rlike("(?i)\\{\\{footer\\b")),
+             ("ellipsis", old.rlike("…{5,}") & ~old.rlike(han))]
+    rnd = random.Random(2)
+    bits = [*" \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u180e\u2000\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff", *"漢甲ABFZ09a[]{}:…", "AB", "F8D5", "https://", "http://a", "reFerenced:", "{{Footer", "x", "…" * 5]
+    rows = [("".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9))),) for _ in range(6000)] + [(None,)]
+    df = spark.createDataFrame(rows, "l string")
+    got = df.select("l", T.strip(F.col("l")).alias("s"), old.alias("s0"), T.normalize(F.col("l")).alias("n"), F.regexp_replace(old, "[ \\t\\x{a0}]+", " ").alias("n0"),
+                    T.review_reasons(F.col("l")).alias("r"), F.filter(F.array(*[F.when(t, F.lit(x)) for x, t in tests]), lambda x: x.isNotNull()).alias("r0")).collect()
+    assert [r for r in got if (r["s"], r["n"], r["r"]) != (r["s0"], r["n0"], r["r0"])] == []
+    assert {x for r in got for x in r["r"] or []} == {x for x, _ in tests}
