@@ -1,7 +1,7 @@
 """From raw lines to records: headings carried forward, audit, statistics, guards.
 
 Lines come as (file, line_no, line). Windows partition by file, as a heading governs what follows it in its
-file; they carry structural columns and read the line text once.
+file; they carry structural columns, and what reads the line text is found before them, where the line is.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ def with_works(lines: DataFrame, dimension: DataFrame) -> DataFrame:
 
 
 def structure(lines: DataFrame) -> DataFrame:
-    """Adds kind (volume, section, empty_heading, line), volume and section in force, the audit, whether a record."""
+    """Adds kind (volume, section, empty_heading, line), volume and section in force, the audit, whether a record, characters of the
+    text and a preview of a line that may go. A caller that does not take `line` moves no texts."""
     order = Window.partitionBy("file").orderBy("line_no")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -45,16 +46,18 @@ def structure(lines: DataFrame) -> DataFrame:
     df = lines.withColumn("heading", heading).withColumn("vol", T.volume(F.col("heading")))
     kind = (F.when(F.col("heading").isNull(), "line").when(F.col("vol").isNotNull(), "volume")
             .when(F.col("heading") != "", "section").otherwise("empty_heading"))
-    df = df.withColumn("kind", kind).withColumn("audit", T.audit(F.col("line")))
+    df = df.withColumn("kind", kind).withColumn("audit", T.audit(F.col("line"))).withColumn("is_title", F.coalesce(T.strip(F.col("line")) == title, F.lit(False)))
+    stays = (F.col("kind") == "line") & (F.col("audit.decision") != "drop")
+    may_go = (F.col("kind") == "line") & (~stays | F.col("is_title"))
+    df = df.withColumn("stays", stays).withColumn("preview", F.when(may_go, F.substring("line", 1, 80))).withColumn("characters", F.length(T.normalize(F.col("line"))))
+    stays, is_title = F.col("stays"), F.col("is_title")
     df = df.withColumn("volume", F.last("vol", ignorenulls=True).over(so_far))
     # a volume heading resets the section, an empty heading changes nothing
     mark = F.when(F.col("kind") == "volume", F.struct(F.lit(None).cast("string").alias("s"))).when(
         F.col("kind") == "section", F.struct(F.col("heading").alias("s")))
     df = df.withColumn("section", F.last(mark, ignorenulls=True).over(so_far)["s"])
-    stays = (F.col("kind") == "line") & (F.col("audit.decision") != "drop")
-    is_title = T.strip(F.col("line")) == title
-    first = F.min(F.when(stays & ~F.coalesce(is_title, F.lit(False)), F.col("line_no"))).over(Window.partitionBy("file"))
-    dropped_title = stays & F.coalesce(is_title, F.lit(False)) & (first.isNull() | (F.col("line_no") < first))
+    first = F.min(F.when(stays & ~is_title, F.col("line_no"))).over(Window.partitionBy("file"))
+    dropped_title = stays & is_title & (first.isNull() | (F.col("line_no") < first))
     reason = F.when(F.col("kind") != "line", "heading").when(dropped_title, "work_title").when(
         F.col("audit.decision") == "drop", F.col("audit.reasons")[0])
     df = df.withColumn("removed", reason)
@@ -82,7 +85,7 @@ def records(structured: DataFrame) -> DataFrame:
 def audit_rows(structured: DataFrame) -> DataFrame:
     """One row per dropped line."""
     return structured.where("kind = 'line' AND removed IS NOT NULL").select(
-        "file", "line_no", F.lit("drop").alias("decision"), F.col("removed").alias("reason"), F.substring("line", 1, 80).alias("raw_preview"))
+        "file", "line_no", F.lit("drop").alias("decision"), F.col("removed").alias("reason"), F.col("preview").alias("raw_preview"))
 
 
 def removed_counts(structured: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ def work_statistics(structured: DataFrame) -> DataFrame:
     kept = F.col("removed").isNull()
     return structured.groupBy("file").agg(
         F.count(F.when(kept, 1)).alias("records"),
-        F.coalesce(F.sum(F.when(kept, F.length(T.normalize(F.col("line"))))), F.lit(0)).alias("characters"),
+        F.coalesce(F.sum(F.when(kept, F.col("characters"))), F.lit(0)).alias("characters"),
         F.count(F.when((F.col("kind") == "line") & ~kept, 1)).alias("audit_decisions"),
         F.count(F.when(F.col("event"), 1)).alias("heading_events"))
 

@@ -163,3 +163,11 @@ def test_line_rules_read_a_line_once(spark):
                     T.review_reasons(F.col("l")).alias("r"), F.filter(F.array(*[F.when(t, F.lit(x)) for x, t in tests]), lambda x: x.isNotNull()).alias("r0")).collect()
     assert [r for r in got if (r["s"], r["n"], r["r"]) != (r["s0"], r["n0"], r["r0"])] == []
     assert {x for r in got for x in r["r"] or []} == {x for x, _ in tests}
+
+
+@pytest.mark.parametrize("name", ["removed_stats", "work_statistics", "title_drop"])
+def test_lines_are_read_before_they_are_dealt_by_file(spark, name):
+    """Windows by file get what was found in a line, and not the line."""
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    above = plan[: plan.index("Exchange hashpartitioning(file")]
+    assert "Window" in above and "RLIKE" not in above and "trim(" not in above
